@@ -25,13 +25,14 @@ def schedule_from_events(events: DataFrame) -> DataFrame:
     arrival = _clock(F.col("arrival_minute"))
     departure = _clock(F.col("departure_minute"))
     no_text = F.lit(None).cast("string")
-    return events.select(
+    minutes = events.select(
         "event_id",
         "user_id",
         "event_type",
         minute.alias("arrival_minute"),
         F.pmod(minute + F.floor("value"), F.lit(1440)).alias("departure_minute"),
-    ).select(
+    )
+    columns = F.struct(
         F.when(every(103), REPEATED_HEADER)
         .when(every(137), no_text)
         .otherwise(F.col("user_id").cast("string"))
@@ -49,3 +50,6 @@ def schedule_from_events(events: DataFrame) -> DataFrame:
         .otherwise(departure)
         .alias("departure_time"),
     )
+    # Through inline() for the reason given in operators.durations: filters on
+    # the texts must not make Spark build the texts again.
+    return minutes.select(F.inline(F.array(columns)))
