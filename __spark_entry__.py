@@ -16,7 +16,8 @@ import stopclock as sc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-PUBLISHED_THRESHOLDS = (10.0, 20.0, 25.0, 60.0, 155.0)
+# Minutes given as thresholds, one pass for all of them.
+THRESHOLDS = (10.0, 20.0, 25.0, 60.0, 155.0)
 
 
 def _schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,12 +32,12 @@ def _on_clean(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return _on_schedule(lambda schedule: operator(sc.clean(schedule)))
 
 
-def _on_minutes(operator: Callable[[DataFrame], DataFrame], *keep: str) -> Query:
-    return _on_clean(lambda cleaned: operator(sc.valid_minutes(cleaned, *keep)))
+def _on_timed(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_clean(lambda cleaned: operator(sc.with_stop_duration(cleaned)))
 
 
-def _on_stops(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_clean(lambda cleaned: operator(sc.with_stop_duration(cleaned)))
+def _on_valid(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_schedule(lambda schedule: operator(sc.valid_stops(schedule)))
 
 
 def _displayed(df: DataFrame) -> DataFrame:
@@ -58,26 +59,26 @@ def queries() -> dict[str, Query]:
         "min_time_length": _on_schedule(sc.drop_short_times),
         "clean_schedule": _on_schedule(sc.clean),
         "time_to_seconds": _on_clean(sc.with_clock_seconds),
-        "stop_duration": _on_stops(lambda stops: stops),
-        "cross_midnight_stops": _on_stops(sc.cross_midnight),
-        "valid_durations": _on_stops(sc.valid_only),
-        "sorted_durations": _on_minutes(sc.sorted_durations),
-        "duration_sample": _on_stops(lambda stops: sc.duration_sample(sc.valid_only(stops))),
+        "stop_duration": _on_clean(sc.with_stop_duration),
+        "cross_midnight_stops": _on_timed(sc.cross_midnight),
+        "valid_durations": _on_timed(sc.valid_only),
+        "sorted_durations": _on_valid(sc.sorted_durations),
+        "duration_sample": _on_valid(sc.duration_sample),
         "quality_summary": _on_schedule(sc.quality_summary),
-        "exact_percentiles": _on_minutes(lambda m: _displayed(sc.exact_percentiles(m))),
-        "exceeding_counts": _on_minutes(sc.exceeding_counts),
-        "threshold_counts": _on_minutes(lambda m: sc.threshold_counts(m, PUBLISHED_THRESHOLDS)),
+        "exact_percentiles": _on_valid(lambda stops: _displayed(sc.exact_percentiles(stops))),
+        "exceeding_counts": _on_valid(sc.exceeding_counts),
+        "threshold_counts": _on_valid(
+            lambda stops: sc.threshold_counts(stops, THRESHOLDS)
+        ),
         "stop_duration_report": _on_schedule(lambda s: _displayed(sc.stop_duration_report(s))),
         "report_lines": _on_schedule(lambda s: sc.report_lines(sc.analysis(s))),
-        "station_percentiles": _on_minutes(
-            lambda m: _displayed(sc.station_percentiles(m)), "station_name"
-        ),
-        "station_exceeding_total": _on_minutes(sc.station_exceeding_total, "station_name"),
+        "station_percentiles": _on_valid(lambda stops: _displayed(sc.station_percentiles(stops))),
+        "station_exceeding_total": _on_valid(sc.station_exceeding_total),
         "terminal_profile": _on_schedule(sc.terminal_profile),
         "quality_breakdown": _on_schedule(sc.quality_breakdown),
-        "exceeding_share": _on_minutes(sc.exceeding_share),
+        "exceeding_share": _on_valid(sc.exceeding_share),
         "station_overview": _on_schedule(sc.station_overview),
-        "platform_peak": _on_clean(sc.platform_peak),
+        "platform_peak": _on_valid(sc.platform_peak),
     }
 
 
@@ -250,7 +251,7 @@ FROM valid ORDER BY train_no, station_name, arrival_time, departure_time LIMIT 5
         "exceeding_counts": f"{_EXCEEDING} SELECT percentile, exceeding_count FROM exceeding",
         "threshold_counts": f"""{_VALID}
 SELECT t.value, count(*) FILTER (v.stop_duration_minutes > t.value) AS exceeding_count
-FROM (VALUES {", ".join(f"({t}::DOUBLE)" for t in PUBLISHED_THRESHOLDS)}) t(value)
+FROM (VALUES {", ".join(f"({t}::DOUBLE)" for t in THRESHOLDS)}) t(value)
 CROSS JOIN valid v GROUP BY t.value""",
         "stop_duration_report": f"""{_EXCEEDING}
 SELECT percentile, round(value, 3) AS value, exceeding_count FROM exceeding""",

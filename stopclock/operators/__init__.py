@@ -7,8 +7,8 @@ from stopclock.operators.cleaning import (
 )
 from stopclock.operators.durations import (
     cross_midnight,
-    valid_minutes,
     valid_only,
+    valid_stops,
     with_clock_seconds,
     with_stop_duration,
 )
@@ -61,8 +61,8 @@ __all__ = [
     "station_percentiles",
     "terminal_profile",
     "threshold_counts",
-    "valid_minutes",
     "valid_only",
+    "valid_stops",
     "with_clock_seconds",
     "with_stop_duration",
 ]

@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stopclock.functions import is_valid_stop
-from stopclock.operators.durations import project_minutes
 from stopclock.schema import SECONDS_PER_DAY
 
 
-def occupancy_steps(cleaned: DataFrame) -> DataFrame:
+def occupancy_steps(valid_stops: DataFrame) -> DataFrame:
     """Net change of trains present per station and second of day.
 
     A train is present from its arrival up to, not including, its departure. A
@@ -20,35 +18,28 @@ def occupancy_steps(cleaned: DataFrame) -> DataFrame:
     shuffle, so a station has at most 86,400 rows however busy it is.
     """
     of_day = lambda c: F.pmod(F.col(c), F.lit(SECONDS_PER_DAY)).alias(c)
-    stops = project_minutes(cleaned).select(
-        "station_name",
-        of_day("arrival_seconds"),
-        of_day("departure_seconds"),
-        is_valid_stop(F.col("stop_duration_minutes")).alias("is_valid"),
-    )
-    arrival, departure = F.col("arrival_seconds"), F.col("departure_seconds")
     step = lambda second, change: F.struct(
         second.alias("second"), F.lit(change).alias("change")
     )
+    arrival, departure = F.col("arrival_seconds"), F.col("departure_seconds")
     same_day = F.array(step(arrival, 1), step(departure, -1))
     over_night = F.array(step(F.lit(0), 1), step(arrival, 1), step(departure, -1))
-    # inline() of NULL gives no row, which drops the stops that are not valid.
-    steps = F.when(F.col("is_valid"), F.when(departure > arrival, same_day).otherwise(over_night))
     return (
-        stops.select("station_name", F.inline(steps))
+        valid_stops.select("station_name", of_day("arrival_seconds"), of_day("departure_seconds"))
+        .select("station_name", F.inline(F.when(departure > arrival, same_day).otherwise(over_night)))
         .groupBy("station_name", "second")
         .agg(F.sum("change").alias("change"))
     )
 
 
-def platform_peak(cleaned: DataFrame) -> DataFrame:
+def platform_peak(valid_stops: DataFrame) -> DataFrame:
     """Most trains present at any moment of the day, per station."""
     over_day = Window.partitionBy("station_name").orderBy("second")
     present = F.sum("change").over(
         over_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        occupancy_steps(cleaned)
+        occupancy_steps(valid_stops)
         .withColumn("present", present)
         .groupBy("station_name")
         .agg(F.max("present").alias("peak"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stopclock.operators import cleaning
-from stopclock.operators.durations import project_minutes
+from stopclock.operators.durations import with_stop_duration
 from stopclock.schema import MAX_STOP_MINUTES, MIDNIGHT, REPEATED_HEADER
 
 # First match wins, in this order.
@@ -17,7 +17,7 @@ VALID_CLASSES = ("valid_cross_midnight", "valid")
 
 
 def row_class() -> Column:
-    """The one class of a row of ``project_minutes``."""
+    """The one class of a row of ``with_stop_duration``."""
     train, arrival, departure = (
         F.col(c) for c in ("train_no", "arrival_seconds", "departure_seconds")
     )
@@ -40,7 +40,7 @@ def row_class() -> Column:
 
 
 def classify(schedule: DataFrame) -> DataFrame:
-    return project_minutes(schedule).withColumn("row_class", row_class())
+    return with_stop_duration(schedule).withColumn("row_class", row_class())
 
 
 def summary_counts(rows: Column) -> list[Column]:

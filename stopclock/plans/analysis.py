@@ -8,8 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopclock.operators.cleaning import clean
-from stopclock.operators.durations import valid_minutes
+from stopclock.operators.durations import valid_stops
 from stopclock.operators.percentiles import (
     needed_cells,
     percentile_table,
@@ -47,8 +46,7 @@ def stop_duration_report(
     schedule: DataFrame, percentiles: Sequence[float] = PERCENTILES
 ) -> DataFrame:
     """The required table: percentile, value in minutes, stops exceeding it."""
-    stops = valid_minutes(clean(schedule))
-    return percentile_table(stops, percentiles).drop("valid")
+    return percentile_table(valid_stops(schedule), percentiles).drop("valid")
 
 
 def analysis(schedule: DataFrame, percentiles: Sequence[float] = PERCENTILES) -> DataFrame:

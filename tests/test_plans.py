@@ -34,16 +34,16 @@ def stored(spark, events_schedule, tmp_path_factory):
 
 
 def test_clock_texts_are_parsed_once(stored):
-    cleaned = sc.clean(stored)
-    stops = sc.with_stop_duration(cleaned)
+    stops = sc.with_stop_duration(sc.clean(stored))
     for df in (
-        sc.valid_only(stops),
-        sc.valid_only(stops).where("stop_duration_minutes > 10"),
+        sc.valid_stops(stored),
+        sc.valid_stops(stored).where("stop_duration_minutes > 10"),
+        sc.classify(stored).where("row_class = 'valid'"),
         sc.cross_midnight(stops),
         sc.stop_duration_report(stored),
         sc.analysis(stored),
         sc.quality_breakdown(stored),
-        sc.platform_peak(cleaned),
+        sc.platform_peak(sc.valid_stops(stored)),
     ):
         assert _plan(df).count("RLIKE(") == 2
 
@@ -62,10 +62,10 @@ def test_filters_and_columns_reach_the_scan(stored, capsys):
 def test_rows_are_reduced_before_the_first_shuffle(stored):
     for df in (
         sc.stop_duration_report(stored),
-        sc.station_percentiles(sc.valid_minutes(sc.clean(stored), "station_name")),
+        sc.station_percentiles(sc.valid_stops(stored)),
         sc.analysis(stored),
-        sc.sorted_durations(sc.valid_minutes(sc.clean(stored))),
-        sc.platform_peak(sc.clean(stored)),
+        sc.sorted_durations(sc.valid_stops(stored)),
+        sc.platform_peak(sc.valid_stops(stored)),
     ):
         # The plan prints from the result down, so the last exchange is the first to run.
         below = _plan(df).rsplit("Exchange", 1)[1]
@@ -73,9 +73,8 @@ def test_rows_are_reduced_before_the_first_shuffle(stored):
 
 
 def test_sample_is_a_bounded_top_k(stored):
-    assert "TakeOrderedAndProject(limit=5" in _plan(
-        sc.duration_sample(sc.valid_only(sc.with_stop_duration(sc.clean(stored))))
-    )
+    plan = _plan(sc.duration_sample(sc.valid_stops(stored)))
+    assert "TakeOrderedAndProject(limit=5" in plan
 
 
 def test_analysis_runs_one_scan(stored):

@@ -81,7 +81,7 @@ def test_platform_peak_against_counting_every_second(make_schedule):
         seconds = present.setdefault(station, {})
         for s in range(arrival, departure):
             seconds[s % 86_400] = seconds.get(s % 86_400, 0) + 1
-    got = {r.station_name: r.peak for r in sc.platform_peak(sc.clean(make_schedule(rows))).collect()}
+    got = {r.station_name: r.peak for r in sc.platform_peak(sc.valid_stops(make_schedule(rows))).collect()}
     assert got == {station: max(seconds.values()) for station, seconds in present.items()}
 
 
@@ -101,5 +101,5 @@ def test_platform_peak_edges(make_schedule):
             ("7", "D", "23:58:00", "00:02:00"),
         ]
     )
-    got = {r.station_name: r.peak for r in sc.platform_peak(schedule).collect()}
+    got = {r.station_name: r.peak for r in sc.platform_peak(sc.valid_stops(schedule)).collect()}
     assert got == {"A": 1, "B": 2, "D": 2}

@@ -66,14 +66,10 @@ def test_single_filters(edge):
         assert _rows(operator(edge)) == sorted(kept, key=str), operator.__name__
 
 
-def test_valid_only_and_valid_minutes_agree_with_the_classes(edge):
-    valid = sorted(r[5] for r in EDGE_ROWS if r[4].startswith("valid"))
-    cleaned = sc.clean(edge)
-    filtered = sc.valid_only(sc.with_stop_duration(cleaned))
-    assert sorted(r.stop_duration_minutes for r in filtered.collect()) == pytest.approx(valid)
-    masked = [r.stop_duration_minutes for r in sc.valid_minutes(cleaned).collect()]
-    assert sorted(m for m in masked if m is not None) == pytest.approx(valid)
-    assert len(masked) == cleaned.count()
+def test_valid_stops_are_those_of_the_valid_classes(edge):
+    expected = sorted(r[5] for r in EDGE_ROWS if r[4].startswith("valid"))
+    got = sorted(r.stop_duration_minutes for r in sc.valid_stops(edge).collect())
+    assert got == pytest.approx(expected)
 
 
 def test_with_stop_duration_keeps_columns_and_rows(edge):
@@ -113,7 +109,7 @@ def test_fixed_point_rounds_like_c(spark):
 
 def test_sample_is_deterministic_and_cut(make_schedule):
     rows = [(str(n), "A very long station name", "10:00:00", f"10:0{n}:15") for n in range(9, 0, -1)]
-    sample = sc.duration_sample(sc.valid_only(sc.with_stop_duration(make_schedule(rows))))
+    sample = sc.duration_sample(sc.valid_stops(make_schedule(rows)))
     got = [tuple(r) for r in sample.collect()]
     assert got[0] == ("1", "A very long sta", "10:00:00", "10:01:15", "1.2")
     assert [g[0] for g in got] == ["1", "2", "3", "4", "5"]
