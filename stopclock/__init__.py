@@ -15,6 +15,7 @@ from stopclock.sources import (
     read_csv,
     read_parquet,
     schedule_from_events,
+    timed_path,
     write_lines,
     write_result,
 )
@@ -34,6 +35,7 @@ __all__ = [
     "run",
     "schedule_from_events",
     "stop_duration_report",
+    "timed_path",
     "write_lines",
     "write_result",
 ]

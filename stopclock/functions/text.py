@@ -22,3 +22,8 @@ def fixed_point(number: Column, places: int) -> Column:
 
 def percentile_label(percentile: Column) -> Column:
     return F.concat(percentile.cast("string"), F.lit("th"))
+
+
+def run_time(pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """When the query runs, as text in the session time zone."""
+    return F.date_format(F.current_timestamp(), pattern)

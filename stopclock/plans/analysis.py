@@ -103,7 +103,7 @@ def run(
     if report_path or result_path:
         done = spark.createDataFrame([row], analysis(schedule, percentiles).schema)
         if report_path:
-            write_lines(report_lines(done), report_path)
+            write_lines(report_lines(done, timed=True), report_path)
         if result_path:
             write_result(done.select(F.inline("results")), result_path)
     return AnalysisResult(

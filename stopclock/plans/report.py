@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopclock.functions import fixed_point, percentile_label, with_commas
+from stopclock.functions import fixed_point, percentile_label, run_time, with_commas
 
-# The text of the two tables.
+# The text of the time line and of the two tables.
+TIME_LABEL = "**Analysis Timestamp:** "
 SUMMARY_HEADING = ("| Metric | Value |", "|--------|-------|")
 RESULT_HEADING = (
     "| Percentile of stop duration | Value of stop duration (minutes) "
@@ -34,8 +35,12 @@ def _result_row(result: Column) -> Column:
     )
 
 
-def report_lines(analysed: DataFrame) -> DataFrame:
-    """(line_no, line) from the row of ``analysis``: summary, blank, results."""
+def report_lines(analysed: DataFrame, timed: bool = False) -> DataFrame:
+    """(line_no, line) from the row of ``analysis``: summary, blank, results.
+
+    ``timed`` puts the time of the run and a blank line in front.
+    """
+    time = (F.concat(F.lit(TIME_LABEL), run_time()), F.lit("")) if timed else ()
     summary = (
         _table_row(TOTAL_LABEL, with_commas(F.col("total"))),
         _table_row(VALID_LABEL, with_commas(F.col("valid"))),
@@ -44,6 +49,6 @@ def report_lines(analysed: DataFrame) -> DataFrame:
             RETENTION_LABEL, F.concat(fixed_point(F.col("retention_rate"), 1), F.lit("%"))
         ),
     )
-    head = (*map(F.lit, SUMMARY_HEADING), *summary, F.lit(""), *map(F.lit, RESULT_HEADING))
+    head = (*time, *map(F.lit, SUMMARY_HEADING), *summary, F.lit(""), *map(F.lit, RESULT_HEADING))
     lines = F.concat(F.array(*head), F.transform("results", _result_row))
     return analysed.select(F.posexplode(lines).alias("line_no", "line"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stopclock.schema import as_schedule
@@ -34,3 +36,8 @@ def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> Non
     """
     ordered = lines.repartition(1).sortWithinPartitions("line_no")
     ordered.select("line").write.mode(mode).text(path)
+
+
+def timed_path(path: str, when: datetime | None = None) -> str:
+    """``path`` with the date and time appended, to keep one output per run."""
+    return f"{path}_{when or datetime.now():%Y%m%d_%H%M%S}"

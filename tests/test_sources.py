@@ -1,6 +1,8 @@
 """CSV reading, schema checks, writing, and the run from path to report."""
 
 import csv
+import re
+from datetime import datetime
 
 import pytest
 
@@ -87,6 +89,9 @@ def test_run_from_csv_to_report(spark, tmp_path):
     assert result.retention_rate == 1966 / 2002 * 100
     assert [p.percentile for p in result.percentile_results] == list(sc.PERCENTILES)
     lines = [r.value for r in spark.read.text(report).collect()]
+    time_line, blank, *lines = lines
+    assert re.fullmatch(r"\*\*Analysis Timestamp:\*\* \d{4}-\d\d-\d\d \d\d:\d\d:\d\d", time_line)
+    assert blank == ""
     assert lines[:7] == [
         "| Metric | Value |",
         "|--------|-------|",
@@ -107,3 +112,7 @@ def test_run_on_a_file_without_valid_rows(spark, tmp_path):
     path = _write_csv(tmp_path / "t.csv", [HEADER])
     result = sc.run(spark, path)
     assert (result.percentile_results, result.total_records, result.retention_rate) == ([], 1, 0.0)
+
+
+def test_timed_path():
+    assert sc.timed_path("out/report", datetime(2025, 7, 20, 10, 38, 41)) == "out/report_20250720_103841"
