@@ -128,3 +128,12 @@ def test_golden_report(spark, scale):
     assert [(round(r.value, 3), r.exceeding_count) for r in report] == GOLDEN[scale]
     # The one-pass analysis must agree with the report to the last digit.
     assert sc.analysis(schedule).first().results == report
+
+
+def test_result_does_not_depend_on_ansi_mode(spark, events_schedule):
+    expected = sc.analysis(events_schedule).first()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert sc.analysis(events_schedule).first() == expected
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

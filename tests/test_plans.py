@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_module
@@ -72,6 +74,12 @@ def test_rows_are_reduced_before_the_first_shuffle(stored):
         assert "HashAggregate" in below and "partial_" in below
 
 
+def test_a_hot_station_is_merged_by_many_tasks(stored):
+    plan = _plan(sc.station_percentiles(sc.valid_stops(stored)))
+    first = plan.rsplit("Exchange", 1)[1]
+    assert re.match(r" hashpartitioning\(station_name#\d+, stop_duration_minutes#\d+, ", first)
+
+
 def test_sample_is_a_bounded_top_k(stored):
     plan = _plan(sc.duration_sample(sc.valid_stops(stored)))
     assert "TakeOrderedAndProject(limit=5" in plan
