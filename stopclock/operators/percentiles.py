@@ -11,6 +11,7 @@ counts in one go, without a second pass over the data and without a join.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +29,11 @@ def duration_histogram(stops: DataFrame, *by: str) -> DataFrame:
 
 
 def with_ranks(histogram: DataFrame, *by: str) -> DataFrame:
-    """Add ``upto`` (stops not longer than this) and ``n`` (stops in the group)."""
+    """Add ``upto`` (stops not longer than this) and ``n`` (stops in the group).
+
+    One task per group, and without ``by`` one task in all. It sorts histogram
+    entries, whose number is bounded, never rows.
+    """
     ascending = Window.partitionBy(*by).orderBy("stop_duration_minutes")
     stops = F.sum("stops")
     return histogram.withColumns(
@@ -175,7 +180,10 @@ def percentile_values(
     stops: DataFrame, percentiles: Sequence[float] = PERCENTILES
 ) -> dict[float, float]:
     """The percentiles as Python numbers; one small row each reaches the driver."""
-    return {r.percentile: r.value for r in exact_percentiles(stops, percentiles).collect()}
+    values = {r.percentile: r.value for r in exact_percentiles(stops, percentiles).collect()}
+    if not values:
+        warnings.warn("no stop durations to take percentiles of", stacklevel=2)
+    return values
 
 
 def count_exceeding(stops: DataFrame, minutes: float) -> int:
