@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 
 import stopclock as sc
 
+# The operators on training text may be absent; anything else that is missing is an error.
+try:
+    import corpus_pipeline
+    from stopclock.llm import registry as llm
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "stopclock.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Minutes given as thresholds, one pass for all of them.
@@ -50,8 +59,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["stop_duration_report"](spark, "/root/testdata/sf0.001")
 
 
+def _llm_queries() -> dict[str, Query]:
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}
+
+
+def _llm_sql() -> dict[str, str]:
+    return llm.ORACLE_SQL if llm else {}
+
+
 def queries() -> dict[str, Query]:
     return {
+        **_llm_queries(),
         "schedule_scan": _on_schedule(sc.as_schedule),
         "drop_repeated_headers": _on_schedule(sc.drop_repeated_headers),
         "drop_null_fields": _on_schedule(sc.drop_null_fields),
@@ -224,6 +242,7 @@ def _filtered(condition: str) -> str:
 def oracle_sql() -> dict[str, str]:
     exceeding = _SUMMARY + _EXCEEDING[len(_VALID) :]
     return {
+        **_llm_sql(),
         "schedule_scan": f"{_SCHEDULE} SELECT * FROM schedule",
         "drop_repeated_headers": _filtered("train_no <> 'Train No'"),
         "drop_null_fields": _filtered(
