@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stopclock.llm.decontamination import OP5_SQL, op5_decontamination
 from stopclock.llm.language import op10_language
 from stopclock.llm.mixing import OP9_SQL, op9_mixing
 from stopclock.llm.quality_classifier import op6_quality_classifier
 from stopclock.llm.quality_rules import OP2_SQL, op2_quality_rules
 from stopclock.llm.sharding import op8_sharding
+from stopclock.llm.simhash import op3_simhash
 from stopclock.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
@@ -24,5 +28,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": OP2_SQL,
+    "op5_decontamination": OP5_SQL,
     "op9_mixing": OP9_SQL,
 }
