@@ -13,9 +13,11 @@ from stopclock.llm.quality_classifier import op6_quality_classifier
 from stopclock.llm.quality_rules import OP2_SQL, op2_quality_rules
 from stopclock.llm.sharding import op8_sharding
 from stopclock.llm.simhash import op3_simhash
+from stopclock.llm.suffix_dedup import op1_suffix_dedup
 from stopclock.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
