@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stopclock.llm.decontamination import OP5_SQL, op5_decontamination
 from stopclock.llm.language import op10_language
+from stopclock.llm.license_scan import op7_license_scan
 from stopclock.llm.mixing import OP9_SQL, op9_mixing
 from stopclock.llm.quality_classifier import op6_quality_classifier
 from stopclock.llm.quality_rules import OP2_SQL, op2_quality_rules
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_license_scan": op7_license_scan,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
