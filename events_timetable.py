@@ -1,4 +1,4 @@
-"""A timetable derived from the ``events`` test table.
+"""A timetable for queries and tests, derived from the ``events`` test table.
 
 The public timetable file is not available, so the checks run on this
 stand-in: one stop per event, with bad rows of every kind planted by

@@ -14,7 +14,6 @@ from stopclock.schema import PERCENTILES, SCHEDULE, SchemaError, as_schedule
 from stopclock.sources import (
     read_csv,
     read_parquet,
-    schedule_from_events,
     timed_path,
     write_lines,
     write_result,
@@ -33,7 +32,6 @@ __all__ = [
     "read_parquet",
     "report_lines",
     "run",
-    "schedule_from_events",
     "stop_duration_report",
     "timed_path",
     "write_lines",

@@ -21,7 +21,9 @@ def fixed_point(number: Column, places: int) -> Column:
 
 
 def percentile_label(percentile: Column) -> Column:
-    return F.concat(percentile.cast("string"), F.lit("th"))
+    """The shortest decimal with at least one place, never in powers of ten."""
+    plain = percentile.cast("decimal(25,20)").cast("string")
+    return F.concat(F.regexp_replace(plain, "(\\.[0-9]+?)0+$", "$1"), F.lit("th"))
 
 
 def run_time(pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

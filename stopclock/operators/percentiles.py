@@ -12,6 +12,7 @@ counts in one go, without a second pass over the data and without a join.
 from __future__ import annotations
 
 import warnings
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -32,7 +33,8 @@ def with_ranks(histogram: DataFrame, *by: str) -> DataFrame:
     """Add ``upto`` (stops not longer than this) and ``n`` (stops in the group).
 
     One task per group, and without ``by`` one task in all. It sorts histogram
-    entries, whose number is bounded, never rows.
+    entries, never rows. Their number is bounded by the distinct durations, so
+    minutes must stand for whole seconds, as those of ``with_stop_duration`` do.
     """
     ascending = Window.partitionBy(*by).orderBy("stop_duration_minutes")
     stops = F.sum("stops")
@@ -47,7 +49,7 @@ def with_ranks(histogram: DataFrame, *by: str) -> DataFrame:
 
 
 def _requested(percentiles: Sequence[float]) -> Column:
-    wanted = list(dict.fromkeys(float(p) for p in percentiles))
+    wanted = [float(p) for p in percentiles]
     if not wanted or not all(0.0 <= p <= 100.0 for p in wanted):
         raise ValueError("percentiles must be one or more numbers from 0 to 100")
     return F.array(
@@ -121,7 +123,9 @@ def percentile_table(
 
     ``value`` is linearly interpolated between the two nearest ranks and not
     rounded; a stop exceeds it only if strictly longer. A group without valid
-    stops gives no rows.
+    stops gives no rows. ``stop_duration_minutes`` must stand for whole seconds
+    (at most 86,400 valid values, see ``with_ranks``); minutes of arbitrary
+    precision give right results, but a histogram as long as the data.
     """
     ranked = with_ranks(duration_histogram(stops, *by), *by)
     grouped = ranked.groupBy(*by).agg(
@@ -157,15 +161,23 @@ def station_exceeding_total(
     stops: DataFrame, percentiles: Sequence[float] = PERCENTILES
 ) -> DataFrame:
     """Stops longer than their own station's percentile, over all stations."""
-    per_station = percentile_table(stops, percentiles, by=["station_name"])
-    return per_station.groupBy("percentile").agg(
+    requests = Counter(float(p) for p in percentiles)
+    per_station = percentile_table(stops, list(requests), by=["station_name"])
+    totals = per_station.groupBy("percentile").agg(
         F.sum("exceeding_count").alias("exceeding_count")
     )
+    if max(requests.values()) == 1:
+        return totals
+    times = F.create_map(*(F.lit(x) for request in requests.items() for x in request))
+    row = F.struct("percentile", "exceeding_count")
+    return totals.select(F.inline(F.array_repeat(row, times[F.col("percentile")])))
 
 
 def threshold_counts(stops: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     """(value, exceeding_count) for given minutes: one pass for all of them."""
     values = [float(v) for v in thresholds]
+    if not values:
+        raise ValueError("thresholds must be one or more numbers of minutes")
     longer = [
         F.count_if(F.col("stop_duration_minutes") > v).alias(f"t{i}") for i, v in enumerate(values)
     ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from stopclock.functions import is_valid_stop
 from stopclock.operators import cleaning
 from stopclock.operators.durations import with_stop_duration
 from stopclock.schema import MAX_STOP_MINUTES, MIDNIGHT, REPEATED_HEADER
@@ -93,8 +94,11 @@ def station_overview(schedule: DataFrame) -> DataFrame:
     Validity is a condition on the minutes, not a filter, so a station whose
     stops are all unusable is still counted.
     """
-    trains = cleaning.drop_repeated_headers(schedule)
-    stops = classify(trains).select("station_name", valid_class_minutes().alias("minutes"))
+    trains = with_stop_duration(cleaning.drop_repeated_headers(schedule))
+    usable = cleaning.has_all_fields() & cleaning.has_times() & cleaning.times_long_enough()
+    minutes = F.col("stop_duration_minutes")
+    valid = F.when(usable & is_valid_stop(minutes), minutes)
+    stops = trains.select("station_name", valid.alias("minutes"))
     return stops.agg(
         F.countDistinct("station_name").alias("stations"),
         F.min("minutes").alias("min_minutes"),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stopclock.operators.durations import valid_stops
@@ -17,13 +18,14 @@ from stopclock.operators.percentiles import (
 )
 from stopclock.operators.quality import (
     classify,
+    observe_progress,
     retention_rate,
     summary_counts,
     valid_class_minutes,
 )
 from stopclock.plans.report import report_lines
 from stopclock.schema import PERCENTILES
-from stopclock.sources import read_csv, write_lines, write_result
+from stopclock.sources import path_exists, read_csv, write_lines, write_result
 
 
 @dataclass(frozen=True)
@@ -33,6 +35,7 @@ class PercentileResult:
     exceeding_count: int
 
 
+# The field names are those that users of the result rely on.
 @dataclass(frozen=True)
 class AnalysisResult:
     percentile_results: list[PercentileResult]
@@ -40,6 +43,7 @@ class AnalysisResult:
     valid_durations: int
     bad_rows_filtered: int
     retention_rate: float
+    timestamp: str
 
 
 def stop_duration_report(
@@ -49,9 +53,15 @@ def stop_duration_report(
     return percentile_table(valid_stops(schedule), percentiles).drop("valid")
 
 
-def analysis(schedule: DataFrame, percentiles: Sequence[float] = PERCENTILES) -> DataFrame:
+def analysis(
+    schedule: DataFrame,
+    percentiles: Sequence[float] = PERCENTILES,
+    observation: Observation | None = None,
+) -> DataFrame:
     """One row: the quality summary and the ``results`` array of the report.
 
+    ``observation`` gets the summary counts from the same job.
+
     Both come from one scan. The rows are counted by class and valid duration,
     which leaves at most 86,400 entries and one per other class, and summary,
     ranks, values and exceeding counts are all read off that table.
@@ -60,7 +70,7 @@ def analysis(schedule: DataFrame, percentiles: Sequence[float] = PERCENTILES) ->
     # One class for all valid rows, so that a duration is one entry.
     kind = F.when(minutes.isNotNull(), "valid").otherwise(F.col("row_class"))
     profile = (
-        classify(schedule)
+        (observe_progress(schedule, observation) if observation else classify(schedule))
         .select("row_class", valid_class_minutes().alias("stop_duration_minutes"))
         .select(kind.alias("row_class"), minutes)
         .groupBy("row_class", "stop_duration_minutes")
@@ -92,24 +102,46 @@ def run(
     multi_line: bool = False,
     report_path: str | None = None,
     result_path: str | None = None,
+    mode: str = "errorifexists",
+    progress: Callable[[dict[str, int]], None] | None = None,
 ) -> AnalysisResult:
     """Analyse a timetable CSV; optionally write the report text and the table.
 
     The data is read once. What comes to the driver, and is then written, is a
-    single row with one array entry per percentile.
+    single row with one array entry per percentile. With the default ``mode`` an
+    output that exists is refused before any job starts, so nothing is computed
+    in vain and nothing is written by half.
+
+    ``progress`` is called with the row counts (total, header_removed,
+    corrupt_removed, bad_rows, valid) of the job that reads the data, and then
+    with ``exceeding`` for each percentile, before anything is written.
     """
+    outputs = [p for p in (report_path, result_path) if p]
+    if len(set(outputs)) < len(outputs):
+        raise ValueError("the report and the result need different paths")
+    if mode not in ("errorifexists", "error", "overwrite", "append", "ignore"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode in ("errorifexists", "error"):
+        for taken in (p for p in outputs if path_exists(spark, p)):
+            raise FileExistsError(f"{taken} already exists")
+    when = datetime.now()
     schedule = read_csv(spark, path, multi_line)
-    row = analysis(schedule, percentiles).first()
-    if report_path or result_path:
+    observation = Observation() if progress else None
+    row = analysis(schedule, percentiles, observation).first()
+    if progress:
+        progress(observation.get)
+        progress({f"exceeding {r.percentile}": r.exceeding_count for r in row.results})
+    if outputs:
         done = spark.createDataFrame([row], analysis(schedule, percentiles).schema)
         if report_path:
-            write_lines(report_lines(done, timed=True), report_path)
+            write_lines(report_lines(done, timed=True), report_path, mode)
         if result_path:
-            write_result(done.select(F.inline("results")), result_path)
+            write_result(done.select(F.inline("results")), result_path, mode)
     return AnalysisResult(
         [PercentileResult(**r.asDict()) for r in row.results],
         row.total,
         row.valid,
         row.bad_rows,
         row.retention_rate,
+        f"{when:%Y-%m-%d %H:%M:%S}",
     )

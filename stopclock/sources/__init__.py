@@ -1,10 +1,9 @@
-from stopclock.sources.events import schedule_from_events
-from stopclock.sources.timetable import read_csv, read_parquet, timed_path, write_lines, write_result
+from stopclock.sources.timetable import path_exists, read_csv, read_parquet, timed_path, write_lines, write_result
 
 __all__ = [
+    "path_exists",
     "read_csv",
     "read_parquet",
-    "schedule_from_events",
     "timed_path",
     "write_lines",
     "write_result",

@@ -3,21 +3,98 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stopclock.schema import as_schedule
 
 
-def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+class OpenQuoteError(ValueError):
+    """The message of the job that meets a record cut off inside a quoted field."""
+
+    HINT = "a quoted field is not closed on its line; read with multi_line=True, or open_quotes='keep' to take such lines as bad rows"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _header(spark: SparkSession, path: str) -> str | None:
+    """The first line of one file, packed or not; None if it is empty."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop.getFileSystem(conf).open(hadoop)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hadoop)
+        source = codec.createInputStream(stream) if codec else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
+        return reader.readLine()
+    finally:
+        stream.close()
+
+
+def _by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The files to read, in groups of equal header lines."""
+    groups: dict[str, list[str]] = {}
+    for file in spark.read.text(path).inputFiles():
+        if (line := _header(spark, file)) is not None:
+            groups.setdefault(line.lstrip("\ufeff").strip(), []).append(file)
+    return list(groups.values())
+
+
+def _read_alike(spark: SparkSession, path: str | list[str], multi_line: bool, open_quotes: str) -> DataFrame:
+    """Files with one and the same header line."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    # The header of each file is compared with the schema as it is read.
+    reader = reader.option("enforceSchema", False)
+    table = reader.csv(path)
+    if multi_line or open_quotes == "keep":
+        return as_schedule(table)
+    raw = "_raw_record"
+    while raw in table.columns:
+        raw = f"_{raw}"
+    as_schedule(table)  # a wrong header is reported as such
+    # All fields are parsed, whatever a query needs, or the parser would not miss any.
+    reader = reader.option("columnNameOfCorruptRecord", raw).option("columnPruning", False)
+    marked = reader.schema(f"{table._jdf.schema().toDDL()}, `{raw}` string").csv(path)
+    # A record cut off at a line break has too few or too many fields, so the parser
+    # keeps its text, and an odd number of quotes. The empty substring makes the test
+    # need a column of the data: Spark refuses to read the raw text alone.
+    text = F.concat(F.col(raw), F.substring(F.coalesce(F.col(f"`{table.columns[0]}`"), F.lit("")), 1, 0))
+    quotes = F.length(F.regexp_replace(text, '[^"]', ""))
+    cut_off = F.coalesce(quotes % 2 == 1, F.lit(False))
+    message = F.concat(F.lit(f"{OpenQuoteError.HINT}: "), F.substring(F.col(raw), 1, 200))
+    return as_schedule(marked.where(F.when(cut_off, F.raise_error(message).cast("boolean")).otherwise(True)).drop(raw))
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = False,
+    open_quotes: str = "raise",
+) -> DataFrame:
     """Timetable CSV with a header row; every column is text.
 
+    The header line of every file is read first. Files whose headers differ (in order or
+    in other columns) are read apart and put together by column name; a file that
+    lacks a column is refused. Every file is also checked against its header as it is read.
+
     Quoted fields may hold line breaks only with ``multi_line=True``. That is
     off by default because Spark then cannot split a file: one 1 TB file would
-    be one task, while line-wise reading cuts it into thousands.
+    be one task, while line-wise reading cuts it into thousands. A record that
+    such a line break cuts off fails the job and is shown (``open_quotes="raise"``);
+    with ``"keep"`` its pieces are rows, mostly bad ones.
     """
-    reader = spark.read.option("header", True).option("multiLine", multi_line)
-    return as_schedule(reader.csv(path))
+    if open_quotes not in ("raise", "keep"):
+        raise ValueError("open_quotes must be 'raise' or 'keep'")
+    groups = _by_header(spark, path)
+    if len(groups) < 2:
+        return _read_alike(spark, path, multi_line, open_quotes)
+    parts = [_read_alike(spark, files, multi_line, open_quotes) for files in groups]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:

@@ -46,7 +46,7 @@ def make_stops(spark):
 
 @pytest.fixture(scope="session")
 def events_schedule(spark):
-    from stopclock import schedule_from_events
+    from events_timetable import schedule_from_events
 
     path = str(TESTDATA / "sf0.01" / "events.parquet")
     return schedule_from_events(spark.read.parquet(path))

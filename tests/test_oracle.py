@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry_module
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = entry_module.timetable_queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def _normal(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert list(QUERIES) == list(SQL)
+    assert list(QUERIES) == [name for name in SQL if name in QUERIES]
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -4,8 +4,10 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import stopclock as sc
+from events_timetable import schedule_from_events
 from stopclock.operators import ordering
 
 LEVELS = (0.0, 12.5, 50.0, 90.0, *sc.PERCENTILES, 100.0)
@@ -62,9 +64,27 @@ def test_null_durations_are_ignored(make_stops):
     assert sc.percentile_values(make_stops([(None,), (1.0,), (3.0,), (None,)]), [50]) == {50.0: 2.0}
 
 
-def test_requested_order_is_kept_and_duplicates_merge(make_stops):
-    table = sc.exact_percentiles(make_stops([1.0, 2.0, 3.0]), [99, 50, 95, 50])
-    assert [r.percentile for r in table.collect()] == [99.0, 50.0, 95.0]
+def test_one_row_per_request_in_requested_order(make_stops):
+    requested = [99.0, 50.0, 95.0, 50.0]
+    table = sc.exact_percentiles(make_stops([1.0, 2.0, 3.0]), requested)
+    assert [r.percentile for r in table.collect()] == requested
+    totals = sc.station_exceeding_total(make_stops([("a", 1.0), ("a", 2.0), ("b", 4.0)], "station_name string,"), [50, 0, 50]).collect()
+    assert sorted(tuple(r) for r in totals) == [(0.0, 1), (50.0, 1), (50.0, 1)]
+
+
+def test_empty_thresholds_are_refused(make_stops):
+    with pytest.raises(ValueError, match="thresholds"):
+        sc.threshold_counts(make_stops([1.0]), [])
+
+
+def test_a_frequent_duration_is_split_among_partitions(make_stops, spark):
+    n, rare = 200_000, 5_000
+    minutes = F.when(F.col("id") < n * 95 // 100, 2.0).otherwise((F.col("id") % rare + 130) / 60.0)
+    ordered = sc.sorted_durations(spark.range(n).select(minutes.alias("stop_duration_minutes")))
+    parts = ordered.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    assert sum(r["rows"] for r in parts) == n and max(r["rows"] for r in parts) <= 2 * n / len(parts)
+    got = [r[0] for r in ordered.collect()]
+    assert got == sorted(got) and got.count(2.0) == n * 95 // 100
 
 
 @pytest.mark.parametrize("bad", [[], [-1], [100.5], [float("nan")]])
@@ -124,7 +144,7 @@ GOLDEN = {
 @pytest.mark.parametrize("scale", GOLDEN)
 def test_golden_report(spark, scale):
     events = spark.read.parquet(f"/root/testdata/{scale}/events.parquet")
-    schedule = sc.schedule_from_events(events)
+    schedule = schedule_from_events(events)
     report = sc.stop_duration_report(schedule).collect()
     assert [(round(r.value, 3), r.exceeding_count) for r in report] == GOLDEN[scale]
     # The one-pass analysis must agree with the report to the last digit.

@@ -3,12 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import Observation
 
 import __spark_entry__ as entry_module
 import stopclock as sc
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
+QUERIES = entry_module.timetable_queries()
 
 
 def _plan(df):
@@ -85,5 +86,13 @@ def test_sample_is_a_bounded_top_k(stored):
     assert "TakeOrderedAndProject(limit=5" in plan
 
 
+def test_observed_analysis_runs_one_scan(stored):
+    observed = Observation()
+    df = sc.analysis(stored, observation=observed)
+    assert _final_plan(df).count("FileScan") == 1
+    row = df.first()
+    assert observed.get["total"] == row.total and observed.get["valid"] == row.valid
+
+
 def test_analysis_runs_one_scan(stored):
     assert _final_plan(sc.analysis(stored)).count("FileScan") == 1

@@ -47,8 +47,43 @@ def test_short_long_and_multi_line_rows(spark, tmp_path):
         ("7", "A\nB", "10:00:00", "10:05:00"),
         ("8", "A", "10:00:00", None),
     ]
-    # Line by line the broken row falls apart and is counted as bad.
-    assert sc.quality_summary(sc.read_csv(spark, str(path))).first().valid == 1
+    # Line by line the broken row falls apart. The job says so, unless told to take it as bad rows.
+    with pytest.raises(Exception, match="multi_line=True"):
+        sc.quality_summary(sc.read_csv(spark, str(path))).collect()
+    with pytest.raises(Exception, match="multi_line=True"):
+        sc.read_csv(spark, str(path)).count()
+    with pytest.raises(Exception, match="multi_line=True"):
+        sc.terminal_profile(sc.read_csv(spark, str(path))).collect()
+    assert sc.quality_summary(sc.read_csv(spark, str(path), open_quotes="keep")).first().valid == 1
+
+
+def test_closed_quotes_and_short_rows_are_no_open_quotes(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('Train No,Station Name,Arrival time,Departure Time\n8,"A, B"\n9,"A ""x""",10:00:00,10:05:00\n')
+    assert sc.read_csv(spark, str(path)).count() == 2
+
+
+def test_files_with_different_column_order(spark, tmp_path):
+    names = ["Distance", "Departure Time", "Station Name", "Arrival time", "Train No"]
+    _write_csv(tmp_path / "a.csv", [["1", "A", "10:00:00", "10:05:00", "7"]])
+    _write_csv(tmp_path / "b.csv", [["9", "11:05:00", "B", "11:00:00", "2"]], names)
+    _write_csv(tmp_path / "c.csv", [["C", "3", "12:00:00", "12:05:00"]], ["Station Name", "Train No", "Arrival time", "Departure Time"])
+    (tmp_path / "d.csv").write_text("")
+    expected = [("1", "A", "10:00:00", "10:05:00"), ("2", "B", "11:00:00", "11:05:00"), ("3", "C", "12:00:00", "12:05:00")]
+    for multi_line in (False, True):
+        assert _rows(sc.read_csv(spark, str(tmp_path), multi_line)) == expected
+        assert _rows(sc.read_csv(spark, [str(tmp_path / f"{x}.csv") for x in "bac"], multi_line)) == expected
+    minutes = sc.valid_stops(sc.read_csv(spark, str(tmp_path))).select("stop_duration_minutes").collect()
+    assert [r[0] for r in minutes] == [5.0] * 3
+
+
+@pytest.mark.parametrize("at", [0, 1, 2])
+def test_a_file_without_a_column_is_refused_wherever_it_is(spark, tmp_path, at):
+    for k in range(3):
+        header = ["Train No", "Station Name", "Arrival time", "Departure" if k == at else "Departure Time"]
+        _write_csv(tmp_path / f"{k}.csv", [["1", "A", "10:00:00", "10:05:00"]], header)
+    with pytest.raises(sc.SchemaError, match="'Departure Time': missing"):
+        sc.read_csv(spark, str(tmp_path))
 
 
 def test_line_wise_reading_splits_a_file_and_multi_line_does_not(spark, tmp_path):
@@ -83,7 +118,11 @@ def test_run_from_csv_to_report(spark, tmp_path):
     rows += [HEADER, ["1", "A", "NA", "10:00:00", ""]]
     path = _write_csv(tmp_path / "t.csv", rows)
     report, table = str(tmp_path / "report"), str(tmp_path / "table")
-    result = sc.run(spark, path, report_path=report, result_path=table)
+    told = []
+    result = sc.run(spark, path, report_path=report, result_path=table, progress=told.append)
+    assert told[0] == {"total": 2_002, "header_removed": 1, "corrupt_removed": 1, "bad_rows": 2, "valid": 1_966}
+    assert list(told[1]) == [f"exceeding {p}" for p in sc.PERCENTILES]
+    assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", result.timestamp)
     assert (result.total_records, result.bad_rows_filtered) == (2_002, 2)
     assert result.valid_durations == 2_000 - 34
     assert result.retention_rate == 1966 / 2002 * 100
@@ -104,8 +143,14 @@ def test_run_from_csv_to_report(spark, tmp_path):
     assert lines[9:] == [f"| {p.percentile}th | {p.value:.3f} | {p.exceeding_count:,} |" for p in result.percentile_results]
     stored = spark.read.parquet(table).orderBy("percentile").collect()
     assert [tuple(r) for r in stored] == [(p.percentile, p.value, p.exceeding_count) for p in result.percentile_results]
-    with pytest.raises(Exception, match="already exists"):
-        sc.run(spark, path, report_path=report)
+    # An output that exists is refused before the input is even looked for, and nothing is written.
+    new = str(tmp_path / "new")
+    with pytest.raises(FileExistsError, match="already exists"):
+        sc.run(spark, str(tmp_path / "no such file"), report_path=new, result_path=table)
+    assert not (tmp_path / "new").exists()
+    sc.run(spark, path, report_path=report, result_path=table, mode="overwrite")
+    with pytest.raises(ValueError):
+        sc.run(spark, path, report_path=new, result_path=new)
 
 
 def test_run_on_a_file_without_valid_rows(spark, tmp_path):
