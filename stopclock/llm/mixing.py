@@ -69,56 +69,53 @@ def sized(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("size", c.n_words(F.col(text)))
 
 
+def _named(df: DataFrame, suffix: str, *names: str) -> DataFrame:
+    return df.withColumnsRenamed({name: f"{name}_{suffix}" for name in names})
+
+
 def mix(docs: DataFrame, *, seed: str = SEED, rows_per_salt: int = ROWS_PER_SALT, **shares) -> DataFrame:
     """Add ``source_size``, ``target`` and ``copies`` to documents with a ``size``.
 
     The only shuffle of the documents is by source, size and salt; the tables joined to
-    them have a row per source, or per source, size and salt.
+    them have a row per source, or per source, size and salt. ``docs`` is read three
+    times, twice of them without its texts.
     """
-    counted = docs.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    salts = 1 + total // rows_per_salt
+    salts = 1 + docs.count() // rows_per_salt
     salt = _md5_below(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 8) % salts
-    goal = targets(docs.groupBy("source").agg(F.sum("size").alias("size")), **shares)
-    cells = docs.withColumn("_salt", salt).groupBy("source", "size", "_salt").agg(F.count(F.lit(1)).alias("n"))
+    # One struct holds the row, so no column of it can clash with the ones used here.
+    row = F.struct(*(F.col(f"`{x}`") for x in docs.columns if x.lower() not in ("source_size", "target", "copies")))
+    rows = docs.select(row.alias("row"), "doc_id", "source", "size", salt.alias("salt"))
+    cells = c.stored(rows.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")))
+    goal = targets(cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size")), **shares)
     # The number of documents before each cell of its source: over sizes first, then over the salts of a size.
     sizes = cells.groupBy("source", "size").agg(F.sum("n").alias("n"))
     smaller = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("source", "size", F.coalesce(F.sum("n").over(smaller), F.lit(0)).alias("smaller"))
-    before = Window.partitionBy("source", "size").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("source", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    key = lambda df, names: df.withColumnsRenamed({k: f"_{k.strip('_')}_of" for k in names})
-    cells = key(
-        cells.join(key(sizes, ["source", "size"]), F.col("source").eqNullSafe(F.col("_source_of")) & (F.col("size") == F.col("_size_of")))
-        .drop("_source_of", "_size_of")
-        .join(key(goal, ["source"]), F.col("source").eqNullSafe(F.col("_source_of")))
-        .drop("_source_of", "n", "weight"),
-        ["source", "size", "_salt"],
-    )
-    within = Window.partitionBy("source", "size", "_salt").orderBy("doc_id")
-    placed = docs.withColumn("_salt", salt).withColumn("_place", F.row_number().over(within))
-    placed = placed.join(
-        cells,
-        F.col("source").eqNullSafe(F.col("_source_of")) & (F.col("size") == F.col("_size_of")) & (F.col("_salt") == F.col("_salt_of")),
+    same = lambda suffix, *names: [F.col(n).eqNullSafe(F.col(f"{n}_{suffix}")) for n in names]
+    cells = (
+        cells.join(_named(sizes, "s", "source", "size"), same("s", "source", "size"))
+        .join(_named(goal, "g", "source"), same("g", "source"))
+        .select("source", "size", "salt", (F.col("smaller") + F.col("before")).alias("before"), "source_size", "target")
     )
-    rank = F.col("smaller") + F.col("before") + F.col("_place")
+    within = Window.partitionBy("source", "size", "salt").orderBy("doc_id")
+    placed = rows.withColumn("place", F.row_number().over(within))
+    placed = placed.join(_named(cells, "c", "source", "size", "salt"), same("c", "source", "size", "salt"))
+    rank = F.col("before") + F.col("place")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     name = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))
     offset = _md5_below(F.concat(F.lit(f"{seed}:"), name), 5) / float(1 << 20)
     copies = F.floor(rate * rank + offset) - F.floor(rate * (rank - 1) + offset)
     # Rounding of a rate just below a whole number must not add a copy.
-    return placed.withColumn("copies", F.least(copies, F.ceil(rate))).drop(
-        "_salt", "_place", "_source_of", "_size_of", "_salt_of", "smaller", "before"
-    )
+    return placed.select("row.*", "source_size", "target", F.least(copies, F.ceil(rate)).alias("copies"))
 
 
 def emit(mixed: DataFrame) -> DataFrame:
     """Each document as often as its ``copies``, without the columns of the mix."""
-    return (
-        mixed.filter("copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-        .drop("_copy", "copies", "size", "source_size", "target")
-    )
+    columns = [x for x in mixed.columns if x not in ("copies", "size", "source_size", "target")]
+    row = F.struct(*(F.col(f"`{x}`") for x in columns))
+    return mixed.select(F.explode(F.array_repeat(row, F.col("copies").cast("int"))).alias("row")).select("row.*")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,32 +91,33 @@ def _hash(key: Column) -> Column:
 def shard(docs: DataFrame, *, key: str = "doc_id", shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, slack: float = 0.0, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
     """Add ``shard`` and ``slot`` (its place in the shard, gapless from 0).
 
-    ``docs`` is read three times (counts, cells, rows): pass a stored table, or one
-    that is cheap to read.
+    ``docs`` is read three times (count, cells, rows), its texts once.
     """
     spark = docs.sparkSession
+    total = docs.count()
     slot_of = F.pmod(_hash(F.col(key)), F.lit(SLOTS)).cast("int")
-    counts = {r.s: r.n for r in docs.groupBy(slot_of.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(counts.values())
     cell_of = F.pmod(F.shiftright(_hash(F.col(key)), 16), F.lit(1 + total // (rows_per_cell * 1024))).cast("int")
+    # One struct holds the row, so no column of it can clash with the ones used here.
+    row = F.struct(*(F.col(f"`{x}`") for x in docs.columns if x.lower() not in ("shard", "slot")))
+    rows = docs.select(row.alias("row"), slot_of.alias("place"), cell_of.alias("cell"), F.col(key).alias("key"))
+    cells = c.stored(rows.groupBy("place", "cell").agg(F.count(F.lit(1)).alias("n")))
+    counts = {r.place: r.n for r in cells.groupBy("place").agg(F.sum("n").alias("n")).collect()}  # SLOTS rows at most
     runs = fill(counts, Ring.of(shards, virtual_nodes), capacities(total, shards, slack))
-    # Slots, and a run more wherever a shard fills up: bounded by SLOTS + shards x virtual nodes.
-    table = spark.createDataFrame(runs or [(-1, 0, 0, 0)], "_s int, _from long, _shard int, _place long")
-    table = table.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("_from", "_shard", "_place"))).alias("_runs"))
-    cells = docs.groupBy(slot_of.alias("_s2"), cell_of.alias("_c2")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_s2").orderBy("_c2").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select("_s2", "_c2", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_slot", "_cell").orderBy(_hash(F.col(key)), key)
-    ranked = docs.withColumns({"_slot": slot_of, "_cell": cell_of}).withColumn("_rank", F.row_number().over(within) - 1)
-    ranked = ranked.join(cells, (F.col("_slot") == F.col("_s2")) & (F.col("_cell") == F.col("_c2")))
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_before"))
-    ranked = ranked.join(F.broadcast(table), F.col("_slot") == F.col("_s"))
-    run = F.element_at(F.filter("_runs", lambda r: r["_from"] <= F.col("_rank")), -1)
-    return (
-        ranked.withColumn("_run", run)
-        .withColumn("shard", F.col("_run._shard"))
-        .withColumn("slot", F.col("_run._place") + F.col("_rank") - F.col("_run._from"))
-        .drop("_slot", "_cell", "_rank", "_s", "_s2", "_c2", "_before", "_runs", "_run")
+    # Slots, and a run more wherever a shard fills up: bounded by SLOTS + shards.
+    table = spark.createDataFrame(runs or [(-1, 0, 0, 0)], "place_r int, first long, shard int, slot long")
+    table = table.groupBy("place_r").agg(F.array_sort(F.collect_list(F.struct("first", "shard", "slot"))).alias("runs"))
+    before = Window.partitionBy("place").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(
+        F.col("place").alias("place_c"), F.col("cell").alias("cell_c"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+    )
+    within = Window.partitionBy("place", "cell").orderBy(_hash(F.col("key")), "key")
+    ranked = rows.withColumn("rank", F.row_number().over(within) - 1)
+    ranked = ranked.join(cells, (F.col("place") == F.col("place_c")) & (F.col("cell") == F.col("cell_c")))
+    ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
+    ranked = ranked.join(F.broadcast(table), F.col("place") == F.col("place_r"))
+    run = F.element_at(F.filter("runs", lambda r: r["first"] <= F.col("rank")), -1)
+    return ranked.withColumn("run", run).select(
+        "row.*", F.col("run.shard").alias("shard"), (F.col("run.slot") + F.col("rank") - F.col("run.first")).alias("slot")
     )
 
 
