@@ -56,7 +56,7 @@ def learn(docs: DataFrame, *, per_language: int = PER_LANGUAGE, accept_share: fl
     y = np.array([languages.index(r.lang) for r in rows], int)
     texts = [r.text for r in rows]
     kept_out = len(rows) // 10
-    model = train(texts[kept_out:], y[kept_out:], max(1, len(languages)), features=FEATURES, epochs=4)
+    model = train(texts[kept_out:], y[kept_out:], max(1, len(languages)), features=FEATURES, seen=20_000)
     p = model.probabilities(texts[:kept_out])
     right = p.max(1)[p.argmax(1) == y[:kept_out]] if kept_out else np.zeros(0)
     return LanguageModel(languages, model, float(np.quantile(right, 1 - accept_share)) if len(right) else 0.0)

@@ -148,7 +148,7 @@ def train(
     *,
     features: Features = Features(),
     dim: int = 8,
-    epochs: int = 6,
+    seen: int = 50_000,
     rate: float = 0.5,
     batch: int = 128,
     init: float = 1.0,
@@ -156,7 +156,9 @@ def train(
 ) -> SubwordModel:
     """Stochastic gradient descent with per-coordinate step sizes over shuffled batches.
 
-    The last tenth of the texts is kept out and sets the softmax temperature.
+    About ``seen`` texts are gone through in all, so a smaller sample is gone through more
+    often (30 times at most). A tenth of the texts is kept out and sets the softmax
+    temperature.
     With no texts the model answers the same for everything.
     """
     rng = np.random.default_rng(seed)
@@ -172,6 +174,7 @@ def train(
     fit = order[tune:]
     seen_table = np.full(table.shape, 1e-8, np.float32)
     seen_head, seen_bias = np.full(head.shape, 1e-8, np.float32), np.full(bias.shape, 1e-8, np.float32)
+    epochs = max(2, min(30, seen // len(texts)))
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for chosen in np.array_split(rng.permutation(fit), max(1, len(fit) // batch)):
