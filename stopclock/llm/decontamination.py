@@ -127,7 +127,8 @@ def rarity(docs: DataFrame, block: Block) -> dict[tuple[int, ...], int]:
             for text in batch["text"]:
                 for _, s in block.runs(block.encode(words(text)), wanted):
                     seen[s] += 1
-        yield pd.DataFrame({"s": [list(s) for s in seen], "n": list(seen.values())})
+        shingles = pd.Series([list(s) for s in seen], dtype=object)
+        yield pd.DataFrame({"s": shingles, "n": pd.Series(list(seen.values()), dtype="int64")})
 
     counted = docs.select("text").mapInPandas(count, "s array<int>, n long").groupBy("s").agg(F.sum("n").alias("n"))
     return {tuple(r.s): r.n for r in counted.collect()}  # the block's shingles at most

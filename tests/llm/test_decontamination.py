@@ -41,7 +41,7 @@ def ours(docs, items, **how):
     return sorted(((r[0], r[1], r[2], r[3], hashlib.sha256(",".join(r[4]).encode()).hexdigest(), r[5]) for r in rows), key=str)
 
 
-@pytest.mark.parametrize(("window", "block"), [(13, 100_000), (4, 7), (3, 1)])
+@pytest.mark.parametrize(("window", "block"), [(13, 100_000), (4, 40), (3, 30)])
 def test_random_texts(spark, make_docs, window, block):
     rng = random.Random(window)
     some = lambda n: " ".join(rng.choice(["The", "of", "a-b", "Öl", "x1", "it's", "no"]) for _ in range(n))
