@@ -97,6 +97,10 @@ class Features:
 
     def bags(self, texts: Sequence[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Distinct buckets and their shares of the text's n-grams, for each text."""
+        # A few texts at a time, as their n-grams take far more room than the bags.
+        return [bag for at in range(0, len(texts), 64) for bag in self._bags(texts[at : at + 64])]
+
+    def _bags(self, texts: Sequence[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         found: list[list[np.ndarray]] = [[] for _ in texts]
         for rows, starts, data in self.chunks(texts):
             for at, bucket in self.of(data):
