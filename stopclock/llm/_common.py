@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Shuffle files go when the query that made them is done, not when the driver's
+#: garbage is next collected.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,10 +29,21 @@ def stored(df: DataFrame, folder: str | None = None, name: str = "table") -> Dat
     and nothing lost with an executor."""
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, True)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that no result reads any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def is_held_out(doc_id: Column) -> Column:
     """One fold of five by the checksum of the id; a null id is held out."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0

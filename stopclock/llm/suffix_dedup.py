@@ -20,8 +20,9 @@ holds 2**k batches and every entry is rewritten a logarithmic number of times.
 *Exact strings.* Suffixes without a match end here. A matched suffix whose blocks are
 all equal marks its whole block. Where blocks differ (at the ends of a copied
 passage), each distinct block is taken once; equal blocks mark each other, and all others
-are compared string by string: first by the 184-byte strings on a 16-byte grid that
-every string of the block must contain, then, for what is left, string by string.
+are compared in steps of a 16-byte grid: strings of a step share a core of 184 bytes, and
+without an equal core elsewhere none is repeated; blocks equal in all bytes of a step repeat
+all its strings; only what is left is compared string by string.
 Each comparison is a count of fingerprints (in all, 128 bits and the place), so no group of
 blocks ever meets in one task.
 
@@ -185,23 +186,31 @@ class IndexFamily:
 
 
 def _grid_cells(blocks: DataFrame, length: int) -> DataFrame:
-    """For every grid step of a block, the hash of the string that all of the block's strings
-    in this step contain."""
+    """The grid steps of every block: ``core`` is the hash of the string that all strings of
+    the step contain, ``wide`` that of the bytes they cover together."""
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            h, block, cell, held = [], [], [], []
+            h, block, cell, core, wide = [], [], [], [], []
             for row in batch.itertuples(index=False):
                 for j in range((row.at - row.number + 1) // GRID, row.at // GRID + 1):
                     # Strings that begin d bytes before the suffix, GRID * j <= d < GRID * (j + 1).
+                    near, far = _reach(j, row.at, row.number)
                     begin = row.at - GRID * j
                     h.append(row.h)
                     block.append(row.block)
                     cell.append(j)
-                    held.append(xxhash.xxh64_intdigest(row.piece[begin : begin + length - GRID], 3))
-            yield pd.DataFrame({"h": h, "block": block, "cell": cell, "held": np.array(held, np.uint64).view(np.int64)})
+                    core.append(xxhash.xxh64_intdigest(row.piece[begin : begin + length - GRID], 3))
+                    wide.append(xxhash.xxh64_intdigest(row.piece[row.at - far : row.at - near + length], 4 + near + 1000 * far))
+            hashes = {k: np.array(v, np.uint64).view(np.int64) for k, v in (("core", core), ("wide", wide))}
+            yield pd.DataFrame({"h": h, "block": block, "cell": cell, **hashes})
 
-    return blocks.mapInPandas(cells, "h long, block long, cell int, held long")
+    return blocks.mapInPandas(cells, "h long, block long, cell int, core long, wide long")
+
+
+def _reach(cell: int, at: int, number: int) -> tuple[int, int]:
+    """The nearest and farthest beginning, before the suffix, of the block's strings in a grid step."""
+    return max(GRID * cell, at - number + 1), min(GRID * cell + GRID - 1, at)
 
 
 def _strings(blocks: DataFrame, length: int) -> DataFrame:
@@ -219,7 +228,8 @@ def _strings(blocks: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 for j in row.cells:
-                    for d in range(max(GRID * j, row.at - row.number + 1), min(GRID * (j + 1), row.at + 1)):
+                    near, far = _reach(j, row.at, row.number)
+                    for d in range(near, far + 1):
                         h.append(row.h)
                         block.append(row.block)
                         before.append(d)
@@ -234,19 +244,41 @@ def _strings(blocks: DataFrame, length: int) -> DataFrame:
 def repeated_in_blocks(blocks: DataFrame, folder: str, length: int = LENGTH) -> DataFrame:
     """``h``, ``block`` and ``marks``: the places in the block, from 0, of strings that occur
     elsewhere. ``blocks`` has each distinct block once, with the number ``n`` of its occurrences."""
-    cells = c.stored(_grid_cells(blocks.select("h", "block", "at", "number", "piece"), length), folder, "cells")
-    met = cells.groupBy("h", "cell", "held").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    some = cells.join(met, ["h", "cell", "held"]).groupBy("h", "block").agg(F.collect_list("cell").alias("cells"))
-    strings = c.stored(
-        _strings(blocks.select("h", "block", "at", "number", "piece").join(some, ["h", "block"]), length), folder, "strings"
+    plain = blocks.select("h", "block", "at", "number", "piece")
+    cells = c.stored(_grid_cells(plain, length), folder, "cells")
+    # How many blocks cover the same bytes in this step, one of them, and how many kinds share the core.
+    alike = cells.groupBy("h", "cell", "core", "wide").agg(F.count(F.lit(1)).alias("same"), F.min("block").alias("one"))
+    alike = c.stored(alike, folder, "alike")
+    kinds = alike.groupBy("h", "cell", "core").agg(F.count(F.lit(1)).alias("kinds"))
+    shared = alike.join(kinds, ["h", "cell", "core"]).filter("same > 1 OR kinds > 1")
+    # Of blocks alike in a step, all strings of the step are repeated, and one is compared with the other kinds.
+    unsure = (F.col("kinds") > 1) & ((F.col("same") == 1) | (F.col("one") == F.col("block")))
+    steps = c.stored(
+        cells.join(shared, ["h", "cell", "core", "wide"])
+        .groupBy("h", "block")
+        .agg(
+            F.collect_list(F.when(F.col("same") > 1, F.col("cell"))).alias("whole"),
+            F.collect_list(F.when(unsure, F.col("cell"))).alias("cells"),
+        ),
+        folder,
+        "steps",
     )
+    unsure = steps.filter(F.size("cells") > 0).select("h", "block", "cells")
+    strings = c.stored(_strings(plain.join(unsure, ["h", "block"]), length), folder, "strings")
+    for done in ("cells", "alike"):
+        c.discard(blocks.sparkSession, f"{folder}/{done}")
     met = strings.groupBy("h", "before", "held").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     few = strings.join(met, ["h", "before", "held"]).groupBy("h", "block").agg(F.collect_list("before").alias("before"))
-    found = blocks.select("h", "block", "n", "at", "number").join(few, ["h", "block"], "left")
-    marks = F.when(F.col("n") > 1, F.sequence(F.lit(0), F.col("number") - 1)).otherwise(
-        F.transform("before", lambda d: F.col("at") - d)
+    found = blocks.select("h", "block", "n", "at", "number").join(steps.select("h", "block", "whole"), ["h", "block"], "left")
+    found = found.join(few, ["h", "block"], "left")
+    at, number, none = F.col("at"), F.col("number"), F.array().cast("array<int>")
+    every = F.sequence(F.lit(0), number - 1)
+    in_steps = F.filter(every, lambda p: F.array_contains("whole", F.floor((at - p) / GRID).cast("int")))
+    single = F.transform("before", lambda d: at - d)
+    marks = F.when(F.col("n") > 1, every).otherwise(
+        F.array_union(F.coalesce(F.when(F.size("whole") > 0, in_steps), none), F.coalesce(single, none))
     )
-    return found.select("h", "block", marks.alias("marks")).filter("marks IS NOT NULL")
+    return found.select("h", "block", marks.alias("marks")).filter(F.size("marks") > 0)
 
 
 def _cut(length: int):
@@ -281,7 +313,8 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, batches: int = BATC
     texts = texts.select("doc_id", F.xxhash64("text").alias("t"), F.crc32("text").alias("u"), "text")
 
     found = suffixes(texts.filter(F.octet_length("text") >= length).select("t", "u", "text"), length)
-    found.withColumn("batch", F.pmod("t", F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(f"{folder}/suffixes")
+    found = found.withColumn("batch", F.pmod("t", F.lit(batches)).cast("int"))
+    found.write.partitionBy("batch").parquet(f"{folder}/suffixes")
     # A schema given by hand: with no suffix at all there is no file to ask.
     found = spark.read.schema(f"{_SAMPLED}, batch int").parquet(f"{folder}/suffixes")
 
@@ -300,14 +333,20 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, batches: int = BATC
             F.collect_set(F.when(~F.col("alike"), block)).alias("mixed"),
         )
     )
+    by_text = c.stored(by_text, folder, "by_text")
+    for done in ("suffixes", *(f"insert{k}" for k in range(batches))):
+        c.discard(spark, f"{folder}/{done}")
     some = c.stored(texts.join(by_text, ["t", "u"]), folder, "matched")
+    c.discard(spark, f"{folder}/by_text")
 
     piece = F.expr(f"substring(text, int(b.first + 1), int(b.number + {length - 1}))")
     blocks = some.select("text", F.explode("mixed").alias("b")).select("b.h", "b.block", "b.at", "b.number", piece.alias("piece"))
     blocks = c.stored(
         blocks.groupBy("h", "block", "at", "number").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("piece")), folder, "blocks"
     )
-    marks = repeated_in_blocks(blocks, folder, length)
+    marks = c.stored(repeated_in_blocks(blocks, folder, length), folder, "marks")
+    for done in ("blocks", "steps", "strings"):
+        c.discard(spark, f"{folder}/{done}")
     mixed = some.select("t", "u", F.explode("mixed").alias("b")).select("t", "u", "b.h", "b.block", "b.first").distinct()
     marked = (
         mixed.join(marks, ["h", "block"]).groupBy("t", "u").agg(F.collect_list(F.struct("first", "marks")).alias("marked"))
