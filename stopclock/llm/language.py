@@ -41,13 +41,13 @@ def learn(docs: DataFrame, *, per_language: int = PER_LANGUAGE, accept_share: fl
     named = docs.select("doc_id", "lang", "text").filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~c.is_held_out(F.col("doc_id"))
     )
-    counts = named.groupBy("lang").count()  # a row for each language
-    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))
-    drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < share * (1 << 30)
+    # A number for each language, of which the model has a class each.
+    counts = {r.lang: r["count"] for r in named.groupBy("lang").count().collect()}
+    shares = {lang: min(1.0, per_language / n) for lang, n in counts.items()} or {"": 0.0}
+    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
+    drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
     rows = (
-        named.filter(F.length("text") <= MAX_LEARNED_CHARS)
-        .join(counts.withColumnRenamed("lang", "named"), F.col("lang") == F.col("named"))
-        .filter(drawn)
+        named.filter((F.length("text") <= MAX_LEARNED_CHARS) & drawn)
         .select("lang", "text")
         .orderBy(F.xxhash64("lang", "text"), "lang", "text")
         .collect()
