@@ -250,7 +250,7 @@ def repeated_in_blocks(blocks: DataFrame, folder: str, length: int = LENGTH) ->
     alike = cells.groupBy("h", "cell", "core", "wide").agg(F.count(F.lit(1)).alias("same"), F.min("block").alias("one"))
     alike = c.stored(alike, folder, "alike")
     kinds = alike.groupBy("h", "cell", "core").agg(F.count(F.lit(1)).alias("kinds"))
-    shared = alike.join(kinds, ["h", "cell", "core"]).filter("same > 1 OR kinds > 1")
+    shared = c.stored(alike.join(kinds, ["h", "cell", "core"]).filter("same > 1 OR kinds > 1"), folder, "alike_or_akin")
     # Of blocks alike in a step, all strings of the step are repeated, and one is compared with the other kinds.
     unsure = (F.col("kinds") > 1) & ((F.col("same") == 1) | (F.col("one") == F.col("block")))
     steps = c.stored(
@@ -265,9 +265,10 @@ def repeated_in_blocks(blocks: DataFrame, folder: str, length: int = LENGTH) ->
     )
     unsure = steps.filter(F.size("cells") > 0).select("h", "block", "cells")
     strings = c.stored(_strings(plain.join(unsure, ["h", "block"]), length), folder, "strings")
-    for done in ("cells", "alike"):
+    for done in ("cells", "alike", "alike_or_akin"):
         c.discard(blocks.sparkSession, f"{folder}/{done}")
     met = strings.groupBy("h", "before", "held").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    met = c.stored(met, folder, "met")
     few = strings.join(met, ["h", "before", "held"]).groupBy("h", "block").agg(F.collect_list("before").alias("before"))
     found = blocks.select("h", "block", "n", "at", "number").join(steps.select("h", "block", "whole"), ["h", "block"], "left")
     found = found.join(few, ["h", "block"], "left")
@@ -321,6 +322,9 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, batches: int = BATC
     family = IndexFamily(spark, folder)
     matches = [family.insert(found.filter(F.col("batch") == k)) for k in range(batches)]
     shared = reduce(DataFrame.unionByName, matches).groupBy("h").agg((F.min("low") == F.max("high")).alias("alike"))
+    # Stored, as this and the joins like it below have a frequent key on the other side, and the engine
+    # splits that only between two sides that come straight from a shuffle.
+    shared = c.stored(shared, folder, "shared")
 
     # Only matched suffixes go on, gathered by text; copies of a text add nothing to a set.
     block = F.struct("first", "number", "at", "h", "block")
@@ -334,7 +338,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, batches: int = BATC
         )
     )
     by_text = c.stored(by_text, folder, "by_text")
-    for done in ("suffixes", *(f"insert{k}" for k in range(batches))):
+    for done in ("suffixes", "shared", *(f"insert{k}" for k in range(batches))):
         c.discard(spark, f"{folder}/{done}")
     some = c.stored(texts.join(by_text, ["t", "u"]), folder, "matched")
     c.discard(spark, f"{folder}/by_text")
@@ -345,7 +349,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, batches: int = BATC
         blocks.groupBy("h", "block", "at", "number").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("piece")), folder, "blocks"
     )
     marks = c.stored(repeated_in_blocks(blocks, folder, length), folder, "marks")
-    for done in ("blocks", "steps", "strings"):
+    for done in ("blocks", "steps", "strings", "met"):
         c.discard(spark, f"{folder}/{done}")
     mixed = some.select("t", "u", F.explode("mixed").alias("b")).select("t", "u", "b.h", "b.block", "b.first").distinct()
     marked = (
