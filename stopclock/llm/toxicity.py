@@ -38,17 +38,27 @@ def learn(docs: DataFrame, labels: DataFrame, *, max_toxic: int = MAX_TOXIC, max
     toxic = marks.filter("toxic = 1").orderBy(*by_hash).limit(max_toxic)
     clean = marks.filter("toxic = 0").orderBy(*by_hash).limit(max_clean)
     texts = docs.select("doc_id", "text").filter(F.length("text") <= MAX_LEARNED_CHARS)
-    rows = (
+    sample = (
         texts.join(F.broadcast(toxic.unionByName(clean)), "doc_id")  # max_toxic + max_clean rows at most
         .groupBy("doc_id", "toxic")
         .agg(F.min("text").alias("text"))
-        .collect()
     )
-    rows.sort(key=lambda r: r.doc_id)
-    y = np.array([r.toxic for r in rows], int)
-    if not y.any():
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("doc_id")
+        y = rows["toxic"].to_numpy(np.int64)
+        if not y.any():
+            return pd.DataFrame({"weights": [], "bias": [], "temperature": []})
+        model = train(rows["text"].tolist(), y, 2, features=FEATURES)
+        parts = [x.astype(np.float32).tobytes() for x in (model.weights, model.bias)]
+        return pd.DataFrame({"weights": parts[:1], "bias": parts[1:], "temperature": [model.temperature]})
+
+    # The bounded sample is one group, learned from in one task; the driver gets the model alone.
+    fitted = sample.groupBy().applyInPandas(fit, "weights binary, bias binary, temperature double").collect()
+    if not fitted:
         return SubwordModel(FEATURES, np.zeros((FEATURES.buckets, 2), np.float32), np.array([5.0, -5.0], np.float32))
-    return train([r.text for r in rows], y, 2, features=FEATURES)
+    weights, bias = (np.frombuffer(x, np.float32) for x in (fitted[0].weights, fitted[0].bias))
+    return SubwordModel(FEATURES, weights.reshape(-1, 2), bias, fitted[0].temperature)
 
 
 def score(docs: DataFrame, model: SubwordModel) -> DataFrame:
