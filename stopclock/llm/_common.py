@@ -57,10 +57,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def words(text: Column) -> Column:
-    """Words of a text: maximal runs of anything but ASCII white space. Null: none."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"))
-
-
 def n_words(text: Column) -> Column:
+    """Maximal runs of anything but ASCII white space. Null: none."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
