@@ -28,6 +28,28 @@ def test_wording_decides(block, license, differences):
     assert (found, got) == (license, differences)
 
 
+MIT_GRANT = next(t for n, t in TEMPLATES if n == "MIT" and "merge" in t)
+
+
+@pytest.mark.parametrize(
+    ("block", "licenses"),
+    [
+        ('Licensed under the Apache License, Version 2.0 (the "License");', ["Apache-2.0"]),
+        ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with it', ["Apache-2.0"]),
+        (MIT_GRANT, ["MIT"]),
+        ("Released under the MIT License, as the law and all others here may use it at will", ["MIT"]),
+        ("so it goes and " * 40 + "this work is licensed under the GNU General Public License, version number 3. and so on", ["GPL-3.0"]),
+        ("Released under the MIT License and licensed under the Apache License, Version 2.0", ["MIT", "Apache-2.0"]),
+        ("This work is licensed under the GNU Library General Public License, version 2.", [None]),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", [None]),
+        ("Licensed under the Apache License, Version 1.1, or the terms of 2.0", [None]),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", [None]),
+    ],
+)
+def test_notices_within_their_block(block, licenses):
+    assert [f[1] for f in Scanner().explain_all(block)] == licenses
+
+
 def test_test_data_has_every_line(spark):
     path = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()
