@@ -1,6 +1,7 @@
 """License scans by conditional compression.
 
-Sentences with a licensing cue are candidate blocks. In each, every template is aligned
+Sentences with a licensing cue, however their lines are wrapped and commented, are candidate
+blocks. In each, every template is aligned
 with the words that it explains best, wherever they stand in the block; only what the block lacks or
 adds within that span is a difference. Names of licenses (``PHRASES``) and numbers must be there as
 they are, no other name or number may come between, and the other differences may
@@ -71,8 +72,14 @@ PHRASES = (
     "creative commons attribution-sharealike", "gnu general public license", "gnu lesser general public license", "mit license", "mozilla public license",
 )
 #: Words by which a license is told from another; none may be added.
-NAMES = frozenset("affero apache bsd by-nc by-nc-nd by-nc-sa by-nd by-sa cc cc0 gnu lesser mit mozilla".split())
+NAMES = frozenset("affero apache bsd by-nc by-nc-nd by-nc-sa by-nd by-sa cc cc0 gnu lesser mit mozilla non-commercial no-derivatives noderivatives noncommercial share-alike sharealike".split())
 CUE = r"(?i)\b(licen[sc]e[ds]?|licensing|copyright|permission|redistribut\w*|CC[ -]BY\S*|CC0|waived)\b"
+MAY_HAVE = r"(?i)\b(licen[sc]|copyright|permission|redistribut|CC\b|CC0|waived)"
+#: Marks of comments and quotes at the beginning and end of lines.
+MARKS = (
+    r"(?m)^[ \t]*(?:(?:/{2,}|/\*+|\*+/?|#+|--+|;+|%+|<!--|\(\*|\{-|>+|\|+|'{3}|\x22{3}|(?:@?REM|dnl)\b|['!](?=[ \t]))[ \t]*)+",
+    r"(?m)[ \t]*(?:\*+/|-->|\*+\)|-\}|\|+|\*+|#+)[ \t]*$",
+)
 MIN_GAIN = 0.2
 MAX_DIFFERENCE = 0.25
 REMEMBERED = 10_000
@@ -80,10 +87,18 @@ REMEMBERED_CHARS = 4_096
 
 
 def candidates(text: Column) -> Column:
-    """Sentences with a cue, in order: lines are cut after a full stop, exclamation or
-    question mark that a space and a capital or digit follow."""
-    lines = F.split(F.coalesce(text, F.lit("")), r"\n|(?<=[.!?])\s+(?=[A-Z0-9])")
-    return F.filter(F.transform(lines, F.trim), lambda line: line.rlike(CUE))
+    """Sentences with a cue, in order. Comment marks are taken off; lines up to a blank one are
+    one paragraph (a word cut at its hyphen is whole again), which is cut after a full stop, exclamation or question mark that a space and
+    a capital or digit follow (but not in ``v. 2.0``)."""
+    plain = F.regexp_replace(text, r"\r\n?", "\n")
+    for marks in MARKS:
+        plain = F.regexp_replace(plain, marks, "")
+    plain = F.regexp_replace(plain, r"(?<=\p{L}-)[ \t]*\n[ \t]*(?=\p{L})", "")
+    pieces = F.split(plain, r"\n\s*\n|(?<=[.!?])(?<!\b[vV]\.)\s+(?=[A-Z0-9])")
+    pieces = F.transform(pieces, lambda piece: F.trim(F.regexp_replace(piece, r"\s+", " ")))
+    found = F.filter(pieces, lambda piece: piece.rlike(CUE))
+    # A cue has no line break but that of "CC BY", which may be wrapped and commented.
+    return F.when(text.rlike(MAY_HAVE), found).otherwise(F.array().cast("array<string>"))
 
 
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")

@@ -1,5 +1,7 @@
 """License scan: rankings, wording and whole texts."""
 
+import textwrap
+
 import pytest
 
 from stopclock.llm import license_scan
@@ -65,3 +67,45 @@ def test_odd_rows(make_docs, odd_rows):
     assert len(found) == len(docs)
     assert {r.doc_id: [(f.block, f.license) for f in r.found] for r in found if r.found} == {8: [("Released under the MIT License.", "MIT")]}
     assert license_scan.scan(make_docs([])).collect() == []
+
+
+WRAPPED = [(n, t) for n, t in TEMPLATES if len(t) > 60]
+
+
+def test_wrapped_and_commented_notices(spark, make_docs):
+    texts, expected = [], []
+    for name, notice in WRAPPED:
+        for width in (40, 72):
+            lines = textwrap.wrap(notice, width)
+            for begin, mark, end in (("", "", ""), ("", "// ", ""), ("", "# ", ""), ("/*\n", " * ", "\n */"), ("<!--\n", "", "\n-->"), ("", ";; ", ""), ("", "-- ", "")):
+                for stop in ("\n", "\r\n"):
+                    commented = begin + "\n".join(mark + line for line in lines) + end
+                    blank = mark.rstrip()
+                    text = f"{mark}program.c - does things\n{blank}\n{commented}\n{blank}\n{mark}Then other words follow"
+                    texts.append(text.replace("\n", stop))
+                    expected.append(name)
+    docs = make_docs(list(enumerate(texts)))
+    got = {r.doc_id: [f.license for f in r.found if f.license] for r in license_scan.scan(docs).collect()}
+    assert [set(got[k]) for k in range(len(texts))] == [{n} for n in expected]
+
+
+def test_whole_notices(make_docs):
+    apache = """   Copyright 2020 Someone
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+    mozilla = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+    lines = "words that stand before\nLicensed under CC BY\n4.0\nReleased under the MIT License\nand more"
+    found = license_scan.scan(make_docs([(1, apache), (2, mozilla), (3, lines)])).collect()
+    assert {r.doc_id: [f.license for f in r.found if f.license] for r in found} == {1: ["Apache-2.0"], 2: ["MPL-2.0"], 3: ["CC-BY-4.0", "MIT"]}
