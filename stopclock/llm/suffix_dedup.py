@@ -9,11 +9,11 @@ equal strings always meet at an indexed suffix. The strings that chose one suffi
 each other; the bytes they span are the suffix's *block*. On ordinary text one suffix in
 ``length`` * 0.4 is kept.
 
-*Index family.* Documents arrive in batches. The suffix array of a batch lists its
-sampled suffixes in the order of their fingerprints, one entry for each (equal prefixes
-are next to each other, which is all that a scan for long matches needs of the order),
+*Index family.* Documents arrive in batches. The index of a batch holds its
+sampled suffixes by their fingerprints, one entry for each (equal prefixes come
+together, which is all that a search for long matches needs; nothing is sorted),
 with the fingerprint of its block, or two where blocks differ. A new batch is merged with
-all existing levels in one scan by fingerprint: what stands in the batch and anywhere
+all existing levels in one hash aggregation by fingerprint: what stands in the batch and anywhere
 else is a match. Levels of the size of what is inserted are merged with it, so level k
 holds 2**k batches and every entry is rewritten a logarithmic number of times.
 
