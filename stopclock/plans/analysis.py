@@ -99,7 +99,7 @@ def run(
     spark: SparkSession,
     path: str | list[str],
     percentiles: Sequence[float] = PERCENTILES,
-    multi_line: bool = False,
+    multi_line: bool | str = False,
     report_path: str | None = None,
     result_path: str | None = None,
     mode: str = "errorifexists",

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopclock.schema import as_schedule
+from stopclock.schema import SchemaError, as_schedule
+from stopclock.sources.records import INSIDE, OUTSIDE, records, state_after
 
 
 class OpenQuoteError(ValueError):
@@ -22,27 +24,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def _header(spark: SparkSession, path: str) -> str | None:
-    """The first line of one file, packed or not; None if it is empty."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    stream = hadoop.getFileSystem(conf).open(hadoop)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hadoop)
-        source = codec.createInputStream(stream) if codec else stream
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
-        return reader.readLine()
-    finally:
-        stream.close()
+def header_lines(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """The files that have lines, by their first line. The tasks open the files, not the driver.
 
-
-def _by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
-    """The files to read, in groups of equal header lines."""
+    Every file is one task, which reads its first line and ends. What comes back is a row for each
+    file, as the driver lists the files of any read.
+    """
+    # A session of its own, so that its settings are nobody else's: no file is cut, and none
+    # shares a task with another.
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.maxPartitionBytes", 1 << 62)
+    apart.conf.set("spark.sql.files.openCostInBytes", 1 << 62)
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    first = apart.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("line"))
+    found = first.mapInArrow(lambda batches: islice((b for b in batches if b.num_rows), 1), "file string, line binary")
     groups: dict[str, list[str]] = {}
-    for file in spark.read.text(path).inputFiles():
-        if (line := _header(spark, file)) is not None:
-            groups.setdefault(line.lstrip("\ufeff").strip(), []).append(file)
-    return list(groups.values())
+    for r in found.collect():
+        groups.setdefault(bytes(r.line).decode("utf-8", "replace").lstrip("\ufeff").strip(), []).append(r.file)
+    return groups
+
+
+def _read_split(spark: SparkSession, path: str | list[str], file: str) -> DataFrame:
+    """Files with one and the same header line, ``file`` among them, cut wherever Spark cuts them."""
+    # Spark's own names for the columns; only the header is read for them.
+    names = spark.read.option("header", True).option("multiLine", True).csv(file).schema
+    as_schedule(spark.createDataFrame([], names))
+    line = spark.read.option("lineSep", "\n").text(file).first()[0]
+    if state_after(OUTSIDE, line.encode()) == INSIDE:
+        raise SchemaError("the header of a file has a line break inside quotes")
+    # Line ends of two characters count as one, inside quotes as well. Blank lines are no records.
+    two = F.col("record").endswith("\r") | F.lit(line.endswith("\r"))
+    record = F.when(two, F.regexp_replace(F.regexp_replace("record", r"\r\z", ""), "\r\n", "\n")).otherwise(F.col("record"))
+    found = records(spark, path).select(record.alias("record")).filter(F.col("record") != "")
+    columns = ", ".join(f"`{name.replace('`', '``')}` string" for name in names.names)
+    parsed = F.from_csv("record", columns, {"multiLine": "true"})
+    return as_schedule(found.select(parsed.alias("row")).select("row.*"))
 
 
 def _read_alike(spark: SparkSession, path: str | list[str], multi_line: bool, open_quotes: str) -> DataFrame:
@@ -73,28 +89,34 @@ def _read_alike(spark: SparkSession, path: str | list[str], multi_line: bool, op
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
-    multi_line: bool = False,
+    multi_line: bool | str = False,
     open_quotes: str = "raise",
 ) -> DataFrame:
     """Timetable CSV with a header row; every column is text.
 
-    The header line of every file is read first. Files whose headers differ (in order or
-    in other columns) are read apart and put together by column name; a file that
+    The header line of every file is read first, in tasks. Files whose headers differ (in order
+    or in other columns) are read apart and put together by column name; a file that
     lacks a column is refused. Every file is also checked against its header as it is read.
 
-    Quoted fields may hold line breaks only with ``multi_line=True``. That is
-    off by default because Spark then cannot split a file: one 1 TB file would
-    be one task, while line-wise reading cuts it into thousands. A record that
-    such a line break cuts off fails the job and is shown (``open_quotes="raise"``);
-    with ``"keep"`` its pieces are rows, mostly bad ones.
+    Where quoted fields may hold line breaks there are two ways. ``multi_line="split"`` reads
+    the files twice (see ``records``), once right away, and cuts them like any others.
+    ``multi_line=True`` is Spark's own way: a file is read once, by one task, however large it is.
+    Both give the same rows.
+
+    The default reads line by line, once. A record that a line break inside quotes cuts off
+    then fails the job and is shown (``open_quotes="raise"``); with ``"keep"`` its
+    pieces are rows, mostly bad ones.
     """
     if open_quotes not in ("raise", "keep"):
         raise ValueError("open_quotes must be 'raise' or 'keep'")
-    groups = _by_header(spark, path)
+    if multi_line not in (False, True, "split"):
+        raise ValueError("multi_line must be False, True or 'split'")
+    groups = list(header_lines(spark, path).values())
+    read = _read_split if multi_line == "split" and groups else _read_alike
+    how = (lambda files: (files[0],)) if read is _read_split else (lambda files: (bool(multi_line), open_quotes))
     if len(groups) < 2:
-        return _read_alike(spark, path, multi_line, open_quotes)
-    parts = [_read_alike(spark, files, multi_line, open_quotes) for files in groups]
-    return reduce(DataFrame.unionByName, parts)
+        return read(spark, path, *how(*groups or [[]]))
+    return reduce(DataFrame.unionByName, [read(spark, files, *how(files)) for files in groups])
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
