@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import stopclock as sc
 from events_timetable import schedule_from_events
+from stopclock.sources.folders import shared_folder
 
 # The operators on training text may be absent; anything else that is missing is an error.
 try:
@@ -74,6 +75,34 @@ def _analysis_rows(schedule: DataFrame) -> DataFrame:
     return _displayed(rows)
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timetable, written as CSV with a remark that has a line break, and read in pieces."""
+    folder = shared_folder(spark)
+    names = sc.schema.SOURCE_HEADERS
+    schedule = _schedule(spark, sf_dir).withColumnsRenamed(names)
+    remark = F.concat(F.lit('a "remark",\non '), F.coalesce("Station Name", F.lit("nothing")))
+    columns = [remark.alias("Remark"), *(f"`{h}`" for h in reversed(names.values()))]
+    schedule.select(*columns).write.option("header", True).csv(folder)
+    return sc.read_csv(spark, folder, multi_line="split")
+
+
+def _written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result table of a whole run from CSV to its two outputs, read back."""
+    folder = shared_folder(spark)
+    _schedule(spark, sf_dir).withColumnsRenamed(sc.schema.SOURCE_HEADERS).write.option("header", True).csv(f"{folder}/in")
+    sc.run(spark, f"{folder}/in", report_path=f"{folder}/report", result_path=f"{folder}/result")
+    return _displayed(spark.read.parquet(f"{folder}/result"))
+
+
+def _threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of the events as a threshold of the valid stops."""
+    return sc.threshold_table(sc.valid_stops(_schedule(spark, sf_dir)), "stop_duration_minutes", _events(spark, sf_dir).select("value"))
+
+
 def queries() -> dict[str, Query]:
     return {**timetable_queries(), **_llm_queries()}
 
@@ -108,6 +137,11 @@ def timetable_queries() -> dict[str, Query]:
         "exceeding_share": _on_valid(sc.exceeding_share),
         "station_overview": _on_schedule(sc.station_overview),
         "platform_peak": _on_valid(sc.platform_peak),
+        "csv_round_trip": _csv_round_trip,
+        "written_report": _written_report,
+        "number_percentiles": lambda spark, sf_dir: _displayed(sc.number_percentiles(_events(spark, sf_dir), "value")),
+        "sorted_numbers": lambda spark, sf_dir: sc.sorted_numbers(_events(spark, sf_dir), "value", "value"),
+        "threshold_sweep": _threshold_sweep,
     }
 
 
@@ -209,6 +243,14 @@ _EXCEEDING = (
   FROM quantiles q CROSS JOIN valid v GROUP BY q.percentile, q.value
 )"""
 )
+_NUMBERS = """
+WITH numbers AS (
+  SELECT value FROM events WHERE value IS NOT NULL AND NOT isnan(value)
+), quantiles AS (""" + " UNION ALL ".join(
+    f"SELECT {p}::DOUBLE AS percentile, quantile_cont(value, {p / 100.0!r}) AS value FROM numbers" for p in sc.PERCENTILES
+) + """)
+SELECT q.percentile, round(q.value, 3) AS value, count(*) FILTER (v.value > q.value) AS exceeding_count
+FROM quantiles q CROSS JOIN numbers v GROUP BY q.percentile, q.value"""
 _CLASSES = (
     _SCHEDULE
     + _with_minutes("schedule")
@@ -334,4 +376,19 @@ FROM valid""",
   FROM moments m JOIN folded f ON f.station_name = m.station_name
   GROUP BY m.station_name, m.t
 ) SELECT station_name, max(trains) AS peak FROM present GROUP BY station_name""",
+        "csv_round_trip": f"{_SCHEDULE} SELECT * FROM schedule",
+        "written_report": f"""{_EXCEEDING}
+SELECT percentile, round(value, 3) AS value, exceeding_count FROM exceeding""",
+        "number_percentiles": _NUMBERS,
+        "sorted_numbers": "SELECT value FROM events WHERE value IS NOT NULL AND NOT isnan(value) ORDER BY value",
+        # Binned instead of compared: how many of the sorted minutes lie above a threshold.
+        "threshold_sweep": f"""{_VALID}, counted AS (
+  SELECT stop_duration_minutes AS minutes, count(*) AS n FROM valid GROUP BY stop_duration_minutes
+), asked AS (
+  SELECT value, count(*) AS times FROM events GROUP BY value
+), answered AS (
+  SELECT value, times, CAST(coalesce(sum(n), 0) AS BIGINT) AS exceeding_count
+  FROM asked LEFT JOIN counted ON minutes > value GROUP BY value, times
+)
+SELECT value, exceeding_count FROM answered, unnest(range(0, times)) AS t(k)""",
     }

@@ -17,6 +17,7 @@ from stopclock.sources import (
     timed_path,
     write_lines,
     write_result,
+    write_together,
 )
 
 __all__ = [
@@ -36,4 +37,5 @@ __all__ = [
     "timed_path",
     "write_lines",
     "write_result",
+    "write_together",
 ]

@@ -34,6 +34,7 @@ from stopclock.operators.quality import (
     station_overview,
     terminal_profile,
 )
+from stopclock.operators.ranking import number_percentiles, sorted_numbers, threshold_table
 
 __all__ = [
     "classify",
@@ -49,6 +50,7 @@ __all__ = [
     "exact_percentiles",
     "exceeding_counts",
     "exceeding_share",
+    "number_percentiles",
     "observe_progress",
     "percentile_table",
     "percentile_values",
@@ -56,11 +58,13 @@ __all__ = [
     "quality_breakdown",
     "quality_summary",
     "sorted_durations",
+    "sorted_numbers",
     "station_exceeding_total",
     "station_overview",
     "station_percentiles",
     "terminal_profile",
     "threshold_counts",
+    "threshold_table",
     "valid_only",
     "valid_stops",
     "with_clock_seconds",

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +25,10 @@ from stopclock.operators.quality import (
     summary_counts,
     valid_class_minutes,
 )
+from stopclock.plans.live import told_live
 from stopclock.plans.report import report_lines
 from stopclock.schema import PERCENTILES
-from stopclock.sources import path_exists, read_csv, write_lines, write_result
+from stopclock.sources import MODES, path_exists, read_csv, write_lines, write_result, write_together
 
 
 @dataclass(frozen=True)
@@ -104,22 +107,25 @@ def run(
     result_path: str | None = None,
     mode: str = "errorifexists",
     progress: Callable[[dict[str, int]], None] | None = None,
+    live: Callable[[dict[str, int]], None] | None = None,
+    live_every: float = 1.0,
 ) -> AnalysisResult:
     """Analyse a timetable CSV; optionally write the report text and the table.
 
     The data is read once. What comes to the driver, and is then written, is a
     single row with one array entry per percentile. With the default ``mode`` an
     output that exists is refused before any job starts, so nothing is computed
-    in vain and nothing is written by half.
+    in vain. Both outputs appear together or not at all (see ``write_together``).
 
     ``progress`` is called with the row counts (total, header_removed,
     corrupt_removed, bad_rows, valid) of the job that reads the data, and then
-    with ``exceeding`` for each percentile, before anything is written.
+    with ``exceeding`` for each percentile, before anything is written. ``live`` is called every
+    ``live_every`` seconds while that job runs, with its tasks begun and done (see ``told_live``).
     """
     outputs = [p for p in (report_path, result_path) if p]
     if len(set(outputs)) < len(outputs):
         raise ValueError("the report and the result need different paths")
-    if mode not in ("errorifexists", "error", "overwrite", "append", "ignore"):
+    if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     if mode in ("errorifexists", "error"):
         for taken in (p for p in outputs if path_exists(spark, p)):
@@ -127,16 +133,16 @@ def run(
     when = datetime.now()
     schedule = read_csv(spark, path, multi_line)
     observation = Observation() if progress else None
-    row = analysis(schedule, percentiles, observation).first()
+    with told_live(spark, live, live_every) if live else nullcontext():
+        row = analysis(schedule, percentiles, observation).first()
     if progress:
         progress(observation.get)
         progress({f"exceeding {r.percentile}": r.exceeding_count for r in row.results})
     if outputs:
         done = spark.createDataFrame([row], analysis(schedule, percentiles).schema)
-        if report_path:
-            write_lines(report_lines(done, timed=True), report_path, mode)
-        if result_path:
-            write_result(done.select(F.inline("results")), result_path, mode)
+        lines, table = report_lines(done, timed=True), done.select(F.inline("results"))
+        writers = {report_path: partial(write_lines, lines), result_path: partial(write_result, table)}
+        write_together(spark, {path: writers[path] for path in outputs}, mode)
     return AnalysisResult(
         [PercentileResult(**r.asDict()) for r in row.results],
         row.total,

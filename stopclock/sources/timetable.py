@@ -19,11 +19,6 @@ class OpenQuoteError(ValueError):
     HINT = "a quoted field is not closed on its line; read with multi_line=True, or open_quotes='keep' to take such lines as bad rows"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def header_lines(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
     """The files that have lines, by their first line. The tasks open the files, not the driver.
 

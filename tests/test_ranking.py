@@ -1,0 +1,97 @@
+"""Ranks among any numbers, against sorting them in Python."""
+
+import math
+import random
+
+import pytest
+
+import stopclock as sc
+from stopclock.operators.ranking import number_histogram, with_range_ranks
+
+
+def _numbers(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+
+
+def _percentile(values, p):
+    """Linear interpolation between the two nearest ranks, and how many values exceed it."""
+    at = p / 100 * (len(values) - 1)
+    low, high = values[math.floor(at)], values[min(math.floor(at) + 1, len(values) - 1)]
+    value = low + (at - math.floor(at)) * (high - low)
+    return value, sum(v > value for v in values)
+
+
+def _some(kind):
+    rng = random.Random(kind)
+    return {
+        "different": lambda: [rng.gauss(0, 1e3) for _ in range(5_000)],
+        "one key": lambda: [7.25] * 9_500 + [rng.random() for _ in range(500)],
+        "wide": lambda: [rng.choice([-1, 1]) * 10.0 ** rng.randrange(-300, 300) for _ in range(2_000)],
+        "all equal": lambda: [3.0] * 1_000,
+        "one": lambda: [1.5],
+        "ends": lambda: [float("inf"), float("-inf"), 0.0, -0.0, 1.0],
+    }[kind]()
+
+
+@pytest.mark.parametrize("kind", ["different", "one key", "wide", "all equal", "one", "ends"])
+def test_percentiles(spark, kind):
+    values = _some(kind)
+    asked = [100.0, 50.0, 95.0, 99.995, 0.0, 50.0] if kind != "ends" else [0.0, 25.0, 50.0, 100.0]
+    got = sc.number_percentiles(_numbers(spark, [*values, None, float("nan")]), "x", asked).collect()
+    assert [r.percentile for r in got] == asked
+    for r in got:
+        value, exceeding = _percentile(sorted(values), r.percentile)
+        assert r.value == value or kind == "ends" and math.isnan(r.value) and math.isnan(value)
+        assert r.exceeding_count == exceeding or math.isnan(value)
+
+
+@pytest.mark.parametrize("kind", ["different", "one key", "wide", "all equal", "one"])
+def test_sorted(spark, kind):
+    values = _some(kind)
+    got = sc.sorted_numbers(_numbers(spark, [*values, None]), "x", "y")
+    assert got.columns == ["y"] and [r.y for r in got.collect()] == sorted(values)
+    sizes = got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(values) < 100 or max(sizes) - min(sizes) <= 1
+
+
+def test_no_task_holds_more_than_its_share(spark):
+    """Neither the ranges nor what is ranked in them: one number has 95 % of the rows, the others all differ."""
+    rng = random.Random(1)
+    values = [2.5] * 190_000 + [rng.random() * 5 for _ in range(10_000)]
+    histogram = number_histogram(_numbers(spark, values), "x")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # so small a table would be put together again
+    try:
+        ranked = with_range_ranks(histogram)
+        sizes = ranked.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # A few of the eight ranges may meet in one task, by the hash of their number.
+    assert sum(sizes) == 10_001 and max(sizes) <= 10_001 / 2
+    rows = sorted((r.number, r.times, r.upto, r.n) for r in ranked.collect())
+    upto = 0
+    for _, times, at, n in rows:
+        upto += times
+        assert (at, n) == (upto, 200_000)
+
+
+def test_thresholds(spark):
+    rng = random.Random(3)
+    values = [rng.randrange(100) / 4 for _ in range(3_000)]
+    asked = [rng.randrange(-40, 140) / 8 for _ in range(400)] + [7.0, 7.0, None, float("nan"), float("inf"), float("-inf")]
+    got = sc.threshold_table(_numbers(spark, [*values, None]), "x", spark.createDataFrame([(t,) for t in asked], "value double"))
+    expected = [(t, sum(v > t for v in values) if t is not None else 0) for t in asked]
+    assert sorted(map(str, got.collect())) == sorted(f"Row(value={t}, exceeding_count={n})" for t, n in expected)
+    empty = _numbers(spark, [])
+    assert sc.threshold_table(empty, "x", spark.createDataFrame([(1.0,)], "value double")).collect() == [(1.0, 0)]
+    assert sc.number_percentiles(empty, "x").collect() == [] and sc.sorted_numbers(empty, "x").collect() == []
+
+
+def test_ten_thousand_thresholds_take_no_larger_plan(spark):
+    numbers = _numbers(spark, [k / 3 for k in range(1_000)])
+    plans = []
+    for n in (2, 10_000):
+        asked = spark.range(n).selectExpr("cast(id as double) / 30 AS value")
+        found = sc.threshold_table(numbers, "x", asked)
+        assert found.count() == n
+        plans.append(len(found._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+    assert plans[0] == plans[1]
