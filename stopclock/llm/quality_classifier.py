@@ -1,16 +1,17 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics,
 flattened into arrays and walked by numpy for a whole batch at once.
 
-``learn`` draws at most ``max_rows`` labelled rows by a hash of the id, computes
-their statistics in Spark, and boosts on the small table of statistics. A
+``learn`` draws at most ``max_rows`` labelled ids by their hash, computes
+the statistics of one text of each in Spark, and boosts on the small table of statistics. A
 statistic is cut into at most ``bins`` quantile bins; a split is found from the
 histograms of gradients; the trees are complete binary trees of fixed depth,
 stored as three arrays (feature, threshold, leaf value), so that a step down
 all trees is one indexing operation.
 
 Defined results: a null text counts as empty; a null ``doc_id`` is held out; an id
-with several labels takes the smallest; without labels every score is 0.5;
-repeated rows stay.
+with several labels takes the smallest, one with several texts that with the least statistics;
+without labels every score is 0.5; repeated rows stay; columns that clash with a result
+column are replaced, all others kept; no documents, no rows; a text of any length is read whole.
 """
 
 from __future__ import annotations
@@ -126,10 +127,11 @@ def learn(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> Tr
         docs.select("doc_id", "text")
         .join(F.broadcast(marks), "doc_id")  # max_rows rows at most
         .select("doc_id", "quality", statistics.of_text("text").alias("counts"))
+        .groupBy("doc_id", "quality")  # of an id's texts the one with the least statistics
+        .agg(F.min("counts").alias("counts"))
         .select("doc_id", "quality", "counts.*")
-        .limit(4 * max_rows)  # ids may repeat
         .toPandas()
-        .sort_values(["doc_id", *statistics.COUNTS], ignore_index=True)
+        .sort_values("doc_id", ignore_index=True)
     )
     return boost(measures(rows), rows["quality"].to_numpy(float))
 

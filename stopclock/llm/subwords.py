@@ -18,9 +18,22 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SEPARATOR = 32
 CHUNK_BYTES = 1 << 20
+PIECES = 8
+
+
+def learned_part(text: Column, most_chars: int) -> Column:
+    """What a model learns from a text: all of it, or of a longer one ``PIECES`` pieces of
+    ``most_chars`` characters in all, each somewhere in its own eighth of the text by hash."""
+    piece, stretch = most_chars // PIECES, F.floor(F.length(text) / PIECES)
+    begin = lambda k: k * stretch + F.pmod(F.xxhash64(text, k), F.greatest(stretch - piece, F.lit(1)))
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda k: F.substr(text, (begin(k) + 1).cast("int"), F.lit(piece)))
+    return F.when(F.length(text) > most_chars, F.array_join(pieces, " ")).otherwise(text)
 
 
 def _byte_classes() -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +152,18 @@ class SubwordModel:
     def probabilities(self, texts: Sequence[str | None]) -> np.ndarray:
         return softmax(self.logits(texts))
 
+    SCHEMA = "weights binary, bias binary, temperature double"
+
+    def packed(self) -> pd.DataFrame:
+        """One row of ``SCHEMA``, in which the model leaves the task that has fitted it."""
+        weights, bias = ([x.astype(np.float32).tobytes()] for x in (self.weights, self.bias))
+        return pd.DataFrame({"weights": weights, "bias": bias, "temperature": [float(self.temperature)]})
+
+    @classmethod
+    def unpacked(cls, features: Features, row) -> SubwordModel:
+        weights, bias = (np.frombuffer(x, np.float32) for x in (row.weights, row.bias))
+        return cls(features, weights.reshape(-1, len(bias)), bias, row.temperature)
+
 
 def softmax(z: np.ndarray) -> np.ndarray:
     z = np.exp(z - z.max(axis=1, keepdims=True))

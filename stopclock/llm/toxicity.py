@@ -2,12 +2,14 @@
 
 ``learn`` fits the model of ``subwords`` on a bounded sample of labelled rows,
 toxic and clean rows bounded apart (``max_toxic``, ``max_clean``; within each,
-the rows with the smallest hash of their id). ``score`` rates every whole text.
+the rows with the smallest hash of their id). Of a text longer than ``LEARNED_CHARS``
+pieces from all over it are learned from. ``score`` rates every whole text, however long.
 
 Defined results: a null text scores as the empty text does; a null ``doc_id`` is
 held out; several labels of one id count as toxic if any is; null labels don't
-count; without toxic labels every text is clean; repeated rows stay; columns
-that clash with a result column are replaced, all others kept.
+count; of several texts of one id the first in order is learned from; without toxic
+labels every text is clean; repeated rows stay; columns that clash with a result column
+are replaced, all others kept; no documents, no rows.
 """
 
 from __future__ import annotations
@@ -18,12 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopclock.llm import _common as c
-from stopclock.llm.subwords import Features, SubwordModel, train
+from stopclock.llm.subwords import Features, SubwordModel, learned_part, train
 
 MAX_TOXIC = 2_500
 MAX_CLEAN = 6_000
-#: Longer texts are scored like all others, but not learned from.
-MAX_LEARNED_CHARS = 200_000
+LEARNED_CHARS = 50_000
 FEATURES = Features(sizes=(3, 4, 5), buckets=1 << 17)
 
 
@@ -37,7 +38,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, max_toxic: int = MAX_TOXIC, max
     by_hash = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id"]
     toxic = marks.filter("toxic = 1").orderBy(*by_hash).limit(max_toxic)
     clean = marks.filter("toxic = 0").orderBy(*by_hash).limit(max_clean)
-    texts = docs.select("doc_id", "text").filter(F.length("text") <= MAX_LEARNED_CHARS)
+    texts = docs.filter(F.col("text").isNotNull()).select("doc_id", learned_part(F.col("text"), LEARNED_CHARS).alias("text"))
     sample = (
         texts.join(F.broadcast(toxic.unionByName(clean)), "doc_id")  # max_toxic + max_clean rows at most
         .groupBy("doc_id", "toxic")
@@ -49,16 +50,13 @@ def learn(docs: DataFrame, labels: DataFrame, *, max_toxic: int = MAX_TOXIC, max
         y = rows["toxic"].to_numpy(np.int64)
         if not y.any():
             return pd.DataFrame({"weights": [], "bias": [], "temperature": []})
-        model = train(rows["text"].tolist(), y, 2, features=FEATURES)
-        parts = [x.astype(np.float32).tobytes() for x in (model.weights, model.bias)]
-        return pd.DataFrame({"weights": parts[:1], "bias": parts[1:], "temperature": [model.temperature]})
+        return train(rows["text"].tolist(), y, 2, features=FEATURES).packed()
 
     # The bounded sample is one group, learned from in one task; the driver gets the model alone.
-    fitted = sample.groupBy().applyInPandas(fit, "weights binary, bias binary, temperature double").collect()
+    fitted = sample.groupBy().applyInPandas(fit, SubwordModel.SCHEMA).collect()
     if not fitted:
         return SubwordModel(FEATURES, np.zeros((FEATURES.buckets, 2), np.float32), np.array([5.0, -5.0], np.float32))
-    weights, bias = (np.frombuffer(x, np.float32) for x in (fitted[0].weights, fitted[0].bias))
-    return SubwordModel(FEATURES, weights.reshape(-1, 2), bias, fitted[0].temperature)
+    return SubwordModel.unpacked(FEATURES, fitted[0])
 
 
 def score(docs: DataFrame, model: SubwordModel) -> DataFrame:

@@ -92,3 +92,145 @@ def test_subwords_of_long_texts_come_in_pieces():
     alone = np.concatenate([model.logits([t]) for t in (" ".join(words), "", None, "beta", " ".join(words[:8]))])
     assert np.allclose(whole, alone)
     assert np.allclose(subwords.train([], np.zeros(0), 2).probabilities(["x"]), 0.5)
+
+
+def test_language_learns_from_long_texts_and_from_one_id(make_docs):
+    """A language is learned whether its texts are all long, all under one id, or all the same row."""
+    german = "der hund und die katze schlafen nicht weil es regnet "
+    rows = [(i, f"the dog and the cat sleep by the door {i} times a day", "en", "s", 0) for i in range(3_000)]
+    rows += [(i, german * 4_500, "de", "s", 0) for i in (10_001, 10_002, 10_003, 10_004, 10_006, 10_007, 10_008)]
+    rows += [(50_000, f"le chien et le chat dorment devant la porte {i} fois par jour", "fr", "s", 0) for i in range(3_000)]
+    rows += [(50_001, "el perro y el gato duermen delante de la puerta", "es", "s", 0)] * 900
+    rows += [(50_003, "12 34", "xx", "s", 0), (50_004, None, "yy", "s", 0)]
+    assert zlib.crc32(b"50000") % 5 and zlib.crc32(b"50001") % 5
+    model = language.learn(make_docs(rows), per_language=200)
+    assert model.languages == ("de", "en", "es", "fr")
+    asked = make_docs([(1, "Der Hund und die Katze"), (2, "The dog and the cat"), (3, "el gato y el perro"), (4, "le chat et le chien")])
+    assert {r.doc_id: r.lang_pred for r in language.identify(asked, model).collect()} == {1: "de", 2: "en", 3: "es", 4: "fr"}
+
+
+def test_language_draws_exactly_so_many_rows(make_docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "train", lambda texts, y, n, **how: pytest.fail("fitted on the driver"))
+    rows = [(7, f"text {i} of the one id", "en", "s", 0) for i in range(500)] + [(i, "ein text", "de", "s", 0) for i in range(90)]
+    docs = make_docs(rows)
+    for most, languages in ((40, 2), (1, 2)):
+        try:
+            language.learn(docs, per_language=most)
+        except Exception as e:  # the task fails as well, which shows that it is the one that fits
+            seen.append("fitted on the driver" in str(e))
+    assert seen == [True, True]
+
+
+def test_toxicity_learns_from_long_texts(spark, make_docs):
+    clean = "a calm note about the weather and the garden "
+    rows = [(i, (clean + ("you idiot moron " if i % 2 else "")) * 6_000 if i % 2 else clean * 3) for i in range(60)]
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(make_docs(rows), labels)
+    assert min(len(t) for i, t in rows if i % 2) > 200_000
+    toxic, calm = model.probabilities(["you idiot moron", clean])[:, 1]
+    assert toxic > 0.5 > calm
+
+
+def test_learned_part(spark):
+    words = " ".join(f"w{i}" for i in range(20_000))
+    docs = spark.createDataFrame([("short",), ("",), (None,), (words,), ("é" * 5_000,)], "text string")
+    got = [r[0] for r in docs.select(subwords.learned_part(docs.text, 1_600)).collect()]
+    assert got[:3] == ["short", "", None] and len(got[4]) == 1_607
+    pieces = [words.find(got[3][201 * k : 201 * k + 200]) for k in range(8)]
+    assert all(len(words) // 8 * k <= at < len(words) // 8 * (k + 1) for k, at in enumerate(pieces))
+
+
+def test_quality_counts_an_id_once(make_docs, spark):
+    rows = [(i, "short bad #" if i % 3 == 0 else "a good and much longer text about many things " * 4) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    once, often = make_docs(rows), make_docs(rows + [rows[3]] * 3_000 + [(3, "zz " * 90)] * 50)
+    models = [quality_classifier.learn(d, labels, max_rows=120) for d in (once, once, often)]
+    for a, b in ((0, 1), (0, 2)):
+        assert all((getattr(models[a], f) == getattr(models[b], f)).all() for f in ("feature", "threshold", "value"))
+
+
+def test_a_split_is_the_best_of_all():
+    """A tree of one level against trying every threshold of every feature."""
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        x = rng.integers(0, 9, (70, 3)).astype(float)
+        y = (x[:, rng.integers(3)] + rng.normal(0, 2, 70) > 4).astype(float)
+        tree = quality_classifier.boost(x, y, trees=1, depth=1, rate=1.0, bins=512, least=5, ridge=1.0)
+        p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        side = lambda rows: (y[rows] - p).sum() ** 2 / (p * (1 - p) * rows.sum() + 1)
+        gains = {}
+        for f in range(3):
+            for cut in np.unique(x[:, f])[:-1]:
+                left = x[:, f] <= cut
+                if min(left.sum(), (~left).sum()) >= 5:
+                    gains[f, cut] = side(left) + side(~left)
+        f, cut = int(tree.feature[0, 0]), tree.threshold[0, 0]
+        left = x[:, f] <= cut
+        assert side(left) + side(~left) == pytest.approx(max(gains.values()))
+        for rows, value in ((left, tree.value[0, 0]), (~left, tree.value[0, 1])):
+            assert value == pytest.approx((y[rows] - p).sum() / (p * (1 - p) * rows.sum() + 1))
+
+
+def _plain_bag(text, features):
+    """Share of each bucket among the n-grams of a text, one n-gram at a time."""
+    letter = lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128
+    data = b" " + (text or "").lower().encode() + b" "
+    clean = [
+        b if letter(b) or (b in b"!$*@" and 0 < i < len(data) - 1 and letter(data[i - 1]) and letter(data[i + 1])) else 32 for i, b in enumerate(data)
+    ]
+    counts = {}
+    for n in features.sizes:
+        for at in range(len(clean) - n + 1):
+            gram = clean[at : at + n]
+            if 32 in gram[1:-1]:
+                continue
+            h = 0
+            for b in gram:
+                h = (h * 16777619 & 0xFFFFFFFF) ^ (b + 1)
+            h = (h ^ (h >> 15)) * (2246822519 + 2 * n) & 0xFFFFFFFF
+            bucket = (h >> 7) & (features.buckets - 1)
+            counts[bucket] = counts.get(bucket, 0) + 1
+    total = sum(counts.values())
+    return {b: k / total for b, k in counts.items()}
+
+
+def test_training_and_scoring_by_hand():
+    """Two classes, a few texts: every step of the descent in plain loops."""
+    features = subwords.Features(sizes=(3, 4), buckets=1 << 8)
+    texts = ["the id!ot cat", "a dog", "", "über die straße", "the cat sat on 12 mats", "dogs & cats"]
+    y, dim, rate = np.array([1, 0, 0, 1, 1, 0]), 3, 0.5
+    model = subwords.train(texts, y, 2, features=features, dim=dim, seen=12, rate=rate, batch=2, seed=5)
+    rng = np.random.default_rng(5)
+    table = (rng.standard_normal((features.buckets, dim)) / dim).astype(np.float32).astype(float)
+    head, bias = rng.standard_normal((dim, 2)).astype(np.float32).astype(float), np.zeros(2)
+    seen_t, seen_h, seen_b = np.full(table.shape, 1e-8), np.full(head.shape, 1e-8), np.full(2, 1e-8)
+    bags = [_plain_bag(t, features) for t in texts]
+    fit = rng.permutation(6)
+    for epoch in range(2):
+        step = rate * (1 - epoch / 2)
+        for chosen in np.array_split(rng.permutation(fit), 3):
+            means = [sum((table[b] * w for b, w in bags[i].items()), np.zeros(dim)) for i in chosen]
+            offs = []
+            for i, m in zip(chosen, means, strict=True):
+                e = np.exp(m @ head + bias)
+                offs.append((e / e.sum() - np.eye(2)[y[i]]) / len(chosen))
+            backs = [head @ off for off in offs]
+            grad_h = sum(np.outer(m, off) for m, off in zip(means, offs, strict=True))
+            grad_b, grad_t = sum(offs), {}
+            for i, back in zip(chosen, backs, strict=True):
+                for b, w in bags[i].items():
+                    grad_t[b] = grad_t.get(b, np.zeros(dim)) + w * back
+            seen_h += grad_h**2
+            head -= step * grad_h / np.sqrt(seen_h)
+            seen_b += grad_b**2
+            bias -= step * grad_b / np.sqrt(seen_b)
+            for b, g in grad_t.items():
+                seen_t[b] += g**2
+                table[b] -= step * g / np.sqrt(seen_t[b])
+    asked = [*texts, "a c@t", None, "unseen words"]
+    plain = []
+    for t in asked:
+        z = sum((table[b] @ head * w for b, w in _plain_bag(t, features).items()), np.zeros(2)) + bias
+        plain.append(np.exp(z) / np.exp(z).sum())
+    assert np.allclose(model.probabilities(asked), plain, atol=1e-4)
