@@ -10,12 +10,14 @@ Documents arrive slot by slot around the ring. The outcome of this order depends
 the number of documents in each slot alone, so only those counts (65,536 at most,
 whatever the input) come to the driver; they give each slot its runs of
 (shard, first place). A document's shard and place then follow from its rank within
-its slot. Ranks are numbered within finer cells (slot and ``cells`` hash groups, more
-of them for more rows), so no task holds a whole slot of a large table.
-
-Defined results: a null id hashes like an empty text; repeated ids share a
-slot and cell, and equal rows take different places in no stated order; a null text has
-size 0 + 8 and checksum 0; no documents, no rows.
+its slot. Ranks are numbered within cells: a slot has one for about every ``rows_per_cell`` of
+its rows, dealt by a hash of the whole row, so rows that share an id part. Equal rows part only by a
+column that tells them apart (``spread``), such as a stored row number.
+
+Defined results: a null id hashes like an empty text; repeated ids share a slot, and equal
+rows take different places in no stated order; a null text has size 0 + 8 and
+checksum 0; columns that clash with a result column are replaced, all others kept; a text of any
+length is only measured; no documents, no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from stopclock.llm import _common as c
 SLOTS = 1 << 16
 SHARDS = 24
 VIRTUAL_NODES = 128
-ROWS_PER_CELL = 100_000
+ROWS_PER_CELL = 20_000
 
 
 @dataclass(frozen=True)
@@ -88,32 +90,36 @@ def _hash(key: Column) -> Column:
     return F.xxhash64(F.coalesce(key.cast("string"), F.lit("")))
 
 
-def shard(docs: DataFrame, *, key: str = "doc_id", shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, slack: float = 0.0, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
-    """Add ``shard`` and ``slot`` (its place in the shard, gapless from 0).
+def shard(docs: DataFrame, *, key: str = "doc_id", shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, slack: float = 0.0, rows_per_cell: int = ROWS_PER_CELL, spread: str | None = None) -> DataFrame:
+    """Add ``shard`` and ``slot`` (its place in the shard, gapless from 0); ``spread`` is dropped.
 
-    ``docs`` is read three times (count, cells, rows), its texts once.
+    ``docs`` is read three times: to count slots, to count cells, and for the result.
     """
     spark = docs.sparkSession
-    total = docs.count()
-    slot_of = F.pmod(_hash(F.col(key)), F.lit(SLOTS)).cast("int")
-    cell_of = F.pmod(F.shiftright(_hash(F.col(key)), 16), F.lit(1 + total // (rows_per_cell * 1024))).cast("int")
+    place = F.pmod(_hash(F.col(key)), F.lit(SLOTS)).cast("int")
     # One struct holds the row, so no column of it can clash with the ones used here.
-    row = F.struct(*(F.col(f"`{x}`") for x in docs.columns if x.lower() not in ("shard", "slot")))
-    rows = docs.select(row.alias("row"), slot_of.alias("place"), cell_of.alias("cell"), F.col(key).alias("key"))
-    cells = c.stored(rows.groupBy("place", "cell").agg(F.count(F.lit(1)).alias("n")))
-    counts = {r.place: r.n for r in cells.groupBy("place").agg(F.sum("n").alias("n")).collect()}  # SLOTS rows at most
-    runs = fill(counts, Ring.of(shards, virtual_nodes), capacities(total, shards, slack))
+    row = F.struct(*(F.col(f"`{x}`") for x in docs.columns if x.lower() not in ("shard", "slot") and x != spread))
+    hashable = [F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
+    rows = docs.select(row.alias("row"), place.alias("place"), F.xxhash64(*hashable).alias("whole"), F.col(key).alias("key"))
+    counts = {r["place"]: r["count"] for r in rows.groupBy("place").count().collect()}  # SLOTS rows at most
+    runs = fill(counts, Ring.of(shards, virtual_nodes), capacities(sum(counts.values()), shards, slack))
     # Slots, and a run more wherever a shard fills up: bounded by SLOTS + shards.
     table = spark.createDataFrame(runs or [(-1, 0, 0, 0)], "place_r int, first long, shard int, slot long")
     table = table.groupBy("place_r").agg(F.array_sort(F.collect_list(F.struct("first", "shard", "slot"))).alias("runs"))
+    cells_of = [(p, 1 + (n - 1) // rows_per_cell) for p, n in counts.items() if n > rows_per_cell] or [(-1, 1)]
+    cells_of = spark.createDataFrame(cells_of, "place_n int, cells int")
+    rows = rows.join(F.broadcast(cells_of), F.col("place") == F.col("place_n"), "left")
+    rows = rows.withColumn("cell", F.pmod("whole", F.coalesce("cells", F.lit(1))).cast("int"))
     before = Window.partitionBy("place").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select(
+    cells = rows.groupBy("place", "cell").agg(F.count(F.lit(1)).alias("n")).select(
         F.col("place").alias("place_c"), F.col("cell").alias("cell_c"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
     )
-    within = Window.partitionBy("place", "cell").orderBy(_hash(F.col("key")), "key")
+    # Slots that are one cell begin at 0; only the others are looked up, a row for each of their cells.
+    cells = c.stored(cells.filter("before > 0"))
+    within = Window.partitionBy("place", "cell").orderBy("key", "whole")
     ranked = rows.withColumn("rank", F.row_number().over(within) - 1)
-    ranked = ranked.join(cells, (F.col("place") == F.col("place_c")) & (F.col("cell") == F.col("cell_c")))
-    ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
+    ranked = ranked.join(cells, (F.col("place") == F.col("place_c")) & (F.col("cell") == F.col("cell_c")), "left")
+    ranked = ranked.withColumn("rank", F.col("rank") + F.coalesce("before", F.lit(0)))
     ranked = ranked.join(F.broadcast(table), F.col("place") == F.col("place_r"))
     run = F.element_at(F.filter("runs", lambda r: r["first"] <= F.col("rank")), -1)
     return ranked.withColumn("run", run).select(
@@ -128,7 +134,8 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = c.stored(measured(spark.read.parquet(f"{sf_dir}/documents.parquet")))
-    return shard(docs).select(
+    docs = measured(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = c.stored(docs.withColumn("number", F.monotonically_increasing_id()))
+    return shard(docs, spread="number").select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

@@ -2,6 +2,7 @@
 
 import bisect
 
+import pytest
 from pyspark.sql import functions as F
 
 from stopclock.llm import sharding
@@ -63,3 +64,19 @@ def test_odd_rows(make_docs, odd_rows):
 def test_equal_ids(make_docs):
     got = sharding.shard(make_docs([(1, f"t{i}") for i in range(50)])).collect()
     assert sorted((r.shard, r.slot) for r in got) == sorted((s, k) for s in range(24) for k in range(3 if s < 2 else 2))
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_a_third_of_the_rows_under_one_id_is_many_tasks(spark, make_docs, equal):
+    rows = [(None if i % 3 == 0 else i, "same" if equal else f"t{i}") for i in range(12_000)]
+    docs = make_docs(rows).withColumn("number", F.monotonically_increasing_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        placed = sharding.shard(docs, rows_per_cell=100, spread="number")
+        sizes = placed.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 12_000 and max(sizes) < 1.5 * 12_000 / len(sizes)
+    got = placed.collect()
+    assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(24) for k in range(500)]
+    assert placed.columns == [*make_docs([]).columns, "shard", "slot"]
