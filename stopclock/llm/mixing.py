@@ -12,13 +12,16 @@ taken come near the target (the error is at most about the largest document). As
 all documents of a source expect the same, the prefix sum is rate x rank, and the rank
 is the number of smaller documents (a prefix sum over the sizes that occur) plus
 the place among those of equal size. Equal sizes are dealt out over ``salts``
-groups by a hash of the id, so neither a source nor a size is one task.
+groups by a hash of id and text, so neither a source nor a size nor an id is one task. A group
+that still has more than ``rows_per_salt`` rows (equal ones, then) is dealt out once more by a
+column that tells equal rows apart (``spread``), such as a stored row number.
 
 Defined results: a null text has size 0; size 0 documents expect copies like others and
 add no words; sources are ordered by code point, null last, and take the weights 3,
 1, 2 in turn; a source without words has target 0 and takes nothing; a null id hashes
-like an empty one; equal rows take different places, in no stated order. The same
-rows give the same result in every run.
+like an empty one; equal rows take different places, in no stated order; columns that clash
+with a result column are replaced, all others kept; words are counted over whole texts; no
+documents, no rows. The same rows give the same result in every run.
 """
 
 from __future__ import annotations
@@ -69,23 +72,43 @@ def sized(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("size", c.n_words(F.col(text)))
 
 
+def _text_md5(docs: DataFrame, digest: str | None) -> Column:
+    """The digest of the text; that of an empty one where there is no text."""
+    if digest:
+        return F.col(digest)
+    return F.md5(F.coalesce(F.col("text"), F.lit("")) if "text" in docs.columns else F.lit(""))
+
+
 def _named(df: DataFrame, suffix: str, *names: str) -> DataFrame:
     return df.withColumnsRenamed({name: f"{name}_{suffix}" for name in names})
 
 
-def mix(docs: DataFrame, *, seed: str = SEED, rows_per_salt: int = ROWS_PER_SALT, **shares) -> DataFrame:
+def mix(docs: DataFrame, *, seed: str = SEED, rows_per_salt: int = ROWS_PER_SALT, digest: str | None = None, spread: str | None = None, **shares) -> DataFrame:
     """Add ``source_size``, ``target`` and ``copies`` to documents with a ``size``.
 
+    ``digest`` is a column with the MD5 of the text, where it is known already. It and ``spread`` are dropped.
+
     The only shuffle of the documents is by source, size and salt; the tables joined to
     them have a row per source, or per source, size and salt. ``docs`` is read three
     times, twice of them without its texts.
     """
     salts = 1 + docs.count() // rows_per_salt
-    salt = _md5_below(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 8) % salts
+    salt = _md5_below(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), _text_md5(docs, digest)), 8) % salts
     # One struct holds the row, so no column of it can clash with the ones used here.
-    row = F.struct(*(F.col(f"`{x}`") for x in docs.columns if x.lower() not in ("source_size", "target", "copies")))
-    rows = docs.select(row.alias("row"), "doc_id", "source", "size", salt.alias("salt"))
+    row = F.struct(*(F.col(f"`{x}`") for x in docs.columns if x.lower() not in ("source_size", "target", "copies") and x not in (spread, digest)))
+    apart = F.xxhash64(spread) if spread else F.lit(0).cast("long")
+    rows = docs.select(row.alias("row"), "doc_id", "source", "size", salt.alias("salt"), apart.alias("apart"))
     cells = c.stored(rows.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")))
+    if spread:
+        # More groups for those that are too large, none for all others.
+        large = cells.filter(F.col("n") > rows_per_salt).withColumn("parts", F.ceil(F.col("n") / rows_per_salt))
+        large = _named(large.select("source", "size", "salt", "parts"), "l", "source", "size", "salt", "parts")
+        if not large.isEmpty():
+            of = [F.col(n).eqNullSafe(F.col(f"{n}_l")) for n in ("source", "size", "salt")]
+            rows = rows.join(large, of, "left").drop("source_l", "size_l", "salt_l")
+            part = F.pmod("apart", F.coalesce("parts_l", F.lit(1)))
+            rows = rows.withColumn("salt", F.col("salt") + salts * part).drop("parts_l")
+            cells = c.stored(rows.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")))
     goal = targets(cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size")), **shares)
     # The number of documents before each cell of its source: over sizes first, then over the salts of a size.
     sizes = cells.groupBy("source", "size").agg(F.sum("n").alias("n"))
@@ -99,7 +122,7 @@ def mix(docs: DataFrame, *, seed: str = SEED, rows_per_salt: int = ROWS_PER_SALT
         .join(_named(goal, "g", "source"), same("g", "source"))
         .select("source", "size", "salt", (F.col("smaller") + F.col("before")).alias("before"), "source_size", "target")
     )
-    within = Window.partitionBy("source", "size", "salt").orderBy("doc_id")
+    within = Window.partitionBy("source", "size", "salt").orderBy("doc_id", "apart")
     placed = rows.withColumn("place", F.row_number().over(within))
     placed = placed.join(_named(cells, "c", "source", "size", "salt"), same("c", "source", "size", "salt"))
     rank = F.col("before") + F.col("place")
@@ -120,18 +143,19 @@ def emit(mixed: DataFrame) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    rows = c.stored(sized(docs).select("doc_id", "source", "size"))
-    return mix(rows).select(
+    docs = sized(docs).withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
+    rows = c.stored(docs.select("doc_id", "source", "size", "digest").withColumn("number", F.monotonically_increasing_id()))
+    return mix(rows, digest="digest", spread="number").select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
 OP9_SQL = f"""
 WITH docs AS (
-  SELECT row_number() OVER () AS r, doc_id, source,
+  SELECT row_number() OVER () AS r, doc_id, source, md5(coalesce(text, '')) AS digest,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents
 ), salted AS (
-  SELECT *, ('0x' || left(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 8))::BIGINT
+  SELECT *, ('0x' || left(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || digest), 8))::BIGINT
             % (1 + (SELECT count(*) FROM docs) // {ROWS_PER_SALT}) AS salt FROM docs
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

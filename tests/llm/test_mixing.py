@@ -88,3 +88,22 @@ def test_odd_rows(make_docs, odd_rows):
     assert {"doc_id", "text", "row", "rank"} <= {*emitted.columns}
     assert mixing.mix(mixing.sized(make_docs([]))).collect() == []
     assert mixing.mix(mixing.sized(make_docs([(1, None), (2, "")]))).agg(F.sum("copies")).first()[0] == 0
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_a_third_of_the_rows_under_one_id_is_many_tasks(spark, make_docs, equal):
+    """All of one source and size, a third of them under one id, with one text or many."""
+    rows = [(None if k % 3 == 0 else k, "same text" if equal else f"text {k}", "en", "s", 0) for k in range(12_000)]
+    docs = mixing.sized(make_docs(rows)).withColumn("number", F.monotonically_increasing_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        mixed = mixing.mix(docs, rows_per_salt=100, spread="number")
+        sizes = mixed.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 12_000 and max(sizes) < 1.5 * 12_000 / len(sizes)
+    got = mixed.collect()
+    # Its target is one and a half times its words.
+    assert abs(sum(r.copies * r.size for r in got) - 36_000) <= 4 and max(r.copies for r in got) == 2
