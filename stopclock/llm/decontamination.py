@@ -8,175 +8,333 @@ shingle. Shingles are ordered by rarity, counted over the whole corpus, and each
 window is found by its rarest one:
 
 1. count, over all documents, the shingles that occur in the benchmark;
-2. index every window by its rarest shingle (ties: the smaller shingle) and its place;
-3. join the shingles of each document with that index; the place fixes where the
+2. index every window by its rarest shingle (ties: the smaller hash, then place) and its place;
+3. join the shingles of the documents with that index; the place fixes where the
    window would begin, and what would begin before the document or end after it
    is out (positional and length bounds);
 4. compare what is left word by word, and mark the words hit.
 
-The benchmark is worked through in blocks of at most ``block_windows`` windows, which
-bounds what is sent to the executors; a larger benchmark means more blocks chained in
-the same pass over the documents, never a larger block.
+Windows, shingles, counts and index are tables, and so are what the documents have of them: no part
+of the benchmark is on the driver or in every task but a bitmap of at most ``2 ** MAX_BITS``
+bits, which keeps shingles that the benchmark lacks out of the shuffles (what it lets pass by
+chance finds no partner). A shingle of a document takes the words around it along, so that
+the join can compare. Documents are read three times, whatever the size of the benchmark: to
+count, to search, and for the result. They are told apart by the digest of their text, so copies are
+one, and texts are not shuffled but for joining the result to them where it is too large to send.
 
 Defined results: null or wordless texts have no words and hit nothing; items
-without words are left out; equal items count each by its own id; a null item id is
-left out; equal document rows stay, each with its result; a result column that clashes
-with a document's column replaces it.
+without words are left out; equal items count each by its own id; the windows of an item without an
+id mark words like all others, but it is not listed; equal document rows stay, each with its
+result; a result column that clashes with a document's column replaces it; a text of any
+length is read whole, in pieces; no documents, no rows; no benchmark, no hits.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopclock.llm import _common as c
 
 WINDOW = 13
 SHINGLE = 3
-BLOCK_WINDOWS = 100_000
 #: Contaminated: at least one word hit, and one in this many.
 HIT_SHARE = 20
+MAX_BITS = 26
+_PIECE = 1 << 20
 
 #: Bytes that are no part of a word become spaces, A-Z become a-z.
 _TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: An odd number; byte k of a stretch weighs its k-th power, and the inverse takes a power back.
+_ROOT = 0x9E3779B97F4A7C15
+_BACK = pow(_ROOT, -1, 1 << 64)
 
 
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(_TABLE).split()
 
 
-class Block:
-    """Some windows of the benchmark: their words as numbers, the items that have them."""
-
-    def __init__(self, windows: dict[tuple[bytes, ...], list[str]], shingle: int):
-        self.number: dict[bytes, int] = {}
-        self.windows = [tuple(self.number.setdefault(w, len(self.number)) for w in window) for window in windows]
-        self.items = list(windows.values())
-        self.shingle = shingle
-        self.index: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-
-    def shingles(self, window: Sequence[int]) -> list[tuple[int, ...]]:
-        size = min(self.shingle, len(window))
-        return [tuple(window[i : i + size]) for i in range(len(window) - size + 1)]
-
-    def all_shingles(self) -> set[tuple[int, ...]]:
-        return {s for window in self.windows for s in self.shingles(window)}
-
-    def order_by(self, count: dict[tuple[int, ...], int]) -> None:
-        """Index each window by its rarest shingle."""
-        self.index = defaultdict(list)
-        for k, window in enumerate(self.windows):
-            _, s, at = min((count.get(s, 0), s, at) for at, s in enumerate(self.shingles(window)))
-            self.index[s].append((k, at))
-        self.index = dict(self.index)
-
-    def encode(self, found: Sequence[bytes]) -> list[int]:
-        get = self.number.get
-        return [get(w, -1) for w in found]
-
-    def runs(self, ids: Sequence[int], wanted) -> Iterator[tuple[int, tuple[int, ...]]]:
-        """Places and shingles of a document that ``wanted`` has."""
-        for size in sorted({len(s) for s in wanted}):
-            grams = zip(*(ids[k:] for k in range(size)))  # noqa: B905
-            yield from ((at, s) for at, s in enumerate(grams) if s in wanted)
-
-    def matches(self, ids: list[int]) -> Iterator[tuple[int, int]]:
-        """(number of a window, place where it begins in the document)."""
-        for at, s in self.runs(ids, self.index):
-            for k, offset in self.index[s]:
-                window, begin = self.windows[k], at - offset
-                if begin >= 0 and begin + len(window) <= len(ids) and tuple(ids[begin : begin + len(window)]) == window:
-                    yield k, begin
-
-
-def item_windows(text: str | None, window: int) -> list[tuple[bytes, ...]]:
-    found = words(text)
-    if not found:
-        return []
-    return [tuple(found[i : i + window]) for i in range(max(1, len(found) - window + 1))]
-
-
-def blocks(benchmark: DataFrame, *, window: int, shingle: int, block_windows: int) -> list[Block]:
-    """The whole benchmark. Its items stream to the driver; each block holds a bounded
-    number of distinct windows."""
-    out, current = [], {}
-    for row in benchmark.select("item_id", "text").filter("item_id IS NOT NULL").toLocalIterator():
-        for w in item_windows(row.text, window):
-            if w not in current and len(current) >= block_windows:
-                out.append(Block(current, shingle))
-                current = {}
-            owners = current.setdefault(w, [])
-            if str(row.item_id) not in owners[-1:]:
-                owners.append(str(row.item_id))
-    return [*out, Block(current, shingle)] if current or not out else out
-
-
-def rarity(docs: DataFrame, block: Block) -> dict[tuple[int, ...], int]:
-    """Over all documents, how often each shingle of the block occurs."""
-    wanted = block.all_shingles()
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[tuple[int, ...], int] = defaultdict(int)
+def _mixed(h: np.ndarray) -> np.ndarray:
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(32))
+
+
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the root and of its inverse, kept for the next time."""
+    if len(_POWERS.get(0, ((),))[0]) < n:
+        size = max(n, 2 * _PIECE)
+        _POWERS[0] = tuple(np.cumprod(np.r_[np.uint64(1), np.full(size, x, np.uint64)]) for x in (_ROOT, _BACK))
+    return _POWERS[0]
+
+
+class Stretch:
+    """The words of several texts or pieces of texts, which lie in one array of bytes.
+
+    Each piece has leading words, which belong to the piece before, then its own, then following ones.
+    """
+
+    def __init__(self, pieces: list[tuple[int, int, int, int, bytes]]):
+        """(number of the text, place of the first word in it, leading words, own words, bytes)."""
+        data = np.frombuffer(b" ".join(p[4] for p in pieces) + b" ", np.uint8)
+        self.data = data
+        edges = np.flatnonzero(np.diff(data != 32, prepend=False))
+        self.start, self.end = edges[::2], edges[1::2]
+        begins = np.cumsum([0] + [len(p[4]) + 1 for p in pieces[:-1]])
+        self.piece = np.searchsorted(begins, self.start, side="right") - 1
+        self.first = np.searchsorted(self.piece, np.arange(len(pieces)))
+        self.text, self.base, self.lead, own = (np.array([p[k] for p in pieces], np.int64) for k in range(4))
+        within = np.arange(len(self.start)) - self.first[self.piece]
+        self.own = (within >= self.lead[self.piece]) & (within < (self.lead + own)[self.piece])
+        self.place = within + self.base[self.piece]
+        up, down = _powers(len(data) + 1)
+        summed = np.r_[np.uint64(0), np.cumsum((data + np.uint64(1)) * up[: len(data)])]
+        self.hash = _mixed((summed[self.end] - summed[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+
+    def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each own shingle the number of its first word, and its hash."""
+        n = len(self.hash) - size + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        at = np.flatnonzero(self.own[:n] & (self.piece[size - 1 :] == self.piece[:n]))
+        h = np.full(len(at), size, np.uint64)
+        for k in range(size):
+            h = h * np.uint64(_ROOT) + self.hash[at + k]
+        return at, _mixed(h)
+
+    def around(self, at: int, reach: int) -> tuple[int, bytes]:
+        """Up to ``reach`` words before word ``at`` and after it, and how many there are before."""
+        piece = self.piece[at]
+        low = max(self.first[piece], at - reach)
+        high = min(self.first[piece + 1] if piece + 1 < len(self.first) else len(self.start), at + reach + 1)
+        return at - low, self.data[self.start[low] : self.end[high - 1]].tobytes()
+
+
+def _step(data: bytes, at: int, n: int, forward: bool) -> int:
+    """The byte ``n`` words further on, or back."""
+    for _ in range(n):
+        if forward:
+            while data[at : at + 1] == b" ":
+                at += 1
+            found = data.find(b" ", at)
+            at = len(data) if found < 0 else found
+        else:
+            while at and data[at - 1 : at] == b" ":
+                at -= 1
+            at = data.rfind(b" ", 0, at) + 1
+    return at
+
+
+def pieces(number: int, data: bytes, reach: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+    """A text as ``Stretch`` takes it: whole, or in pieces with ``reach`` words more on either side."""
+    if len(data) <= _PIECE:
+        yield number, 0, 0, len(data), data
+        return
+    at, before = 0, 0
+    while at < len(data):
+        end = min(len(data), at + _PIECE)
+        if end < len(data):
+            cut = data.rfind(b" ", at + 1, end)
+            end = cut if cut > 0 else _step(data, end, 1, True)
+        low, high = _step(data, at, reach, False), _step(data, end, reach, True)
+        lead, own = len(data[low:at].split()), len(data[at:end].split())
+        yield number, before - lead, lead, own, data[low:high]
+        at, before = end, before + own
+
+
+def stretches(texts: Iterator[bytes | None], reach: int) -> Iterator[Stretch]:
+    held, size = [], 0
+    for number, text in enumerate(texts):
+        for piece in pieces(number, (text or b"").translate(_TABLE), reach):
+            held.append(piece)
+            size += len(piece[4]) + 1
+            if size >= _PIECE:
+                yield Stretch(held)
+                held, size = [], 0
+    if held:
+        yield Stretch(held)
+
+
+def benchmark_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """``words`` (joined by spaces), ``size`` and ``item`` of every window of every item."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for item, text in zip(batch["item"], batch["text"], strict=True):
+                found = words(text)
+                size = min(window, len(found))
+                if size:
+                    runs = [b" ".join(found[i : i + size]) for i in range(len(found) - size + 1)]
+                    yield pd.DataFrame({"words": runs, "size": size, "item": [item] * len(runs)})
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
+    return items.mapInPandas(cut, "words binary, size int, item string")
+
+
+def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
+    """``w``, ``at``, ``length`` and ``h`` of the shingles of each window."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch["size"].to_numpy()
+            for stretch in stretches((x.as_py() for x in batch["words"]), shingle):
+                for length in range(1, shingle + 1):
+                    at, h = stretch.shingles(length)
+                    number = stretch.text[stretch.piece[at]]
+                    mine = np.minimum(shingle, sizes[number]) == length
+                    columns = batch["w"].to_numpy()[number[mine]], stretch.place[at[mine]], np.full(mine.sum(), length), h[mine].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["w", "at", "length", "h"])
+
+    return windows.select("w", "size", "words").mapInArrow(cut, "w long, at long, length long, h long")
+
+
+class Bitmap:
+    """Marks the hashes of some table; others are marked by chance, one in about 32 unless there are very many."""
+
+    def __init__(self, hashes: DataFrame, rows: int, max_bits: int):
+        self.bits = min(max_bits, max(12, (32 * rows).bit_length()))
+        slot = F.shiftrightunsigned("h", 64 - self.bits)
+        words = hashes.groupBy(F.shiftright(slot, 6).cast("int").alias("word")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))).alias("bits")
+        )
+        # 2 ** (bits - 6) rows at most, whatever the size of the benchmark.
+        found = words.toArrow()
+        table = np.zeros(1 << (self.bits - 6), np.int64)
+        table[found["word"].to_numpy()] = found["bits"].to_numpy()
+        self.table = table.view(np.uint64)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        slot = h >> np.uint64(64 - self.bits)
+        return (self.table[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def shingle_counts(texts: DataFrame, marked: Bitmap, lengths: list[int]) -> DataFrame:
+    """``h`` and ``n``, how often each marked shingle occurs in the documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for text in batch["text"]:
-                for _, s in block.runs(block.encode(words(text)), wanted):
-                    seen[s] += 1
-        shingles = pd.Series([list(s) for s in seen], dtype=object)
-        yield pd.DataFrame({"s": shingles, "n": pd.Series(list(seen.values()), dtype="int64")})
+            for stretch in stretches((x.as_py() for x in batch["data"]), max(lengths)):
+                for length in lengths:
+                    _, h = stretch.shingles(length)
+                    held.append(np.unique(h[marked.has(h)], return_counts=True))
+                if sum(len(h) for h, _ in held) > 1_000_000:
+                    yield told(held)
+                    held = []
+        if held:
+            yield told(held)
 
-    counted = docs.select("text").mapInPandas(count, "s array<int>, n long").groupBy("s").agg(F.sum("n").alias("n"))
-    return {tuple(r.s): r.n for r in counted.collect()}  # the block's shingles at most
+    def told(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        h, place = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+        n = np.bincount(place, np.concatenate([x for _, x in held]), len(h)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
+    return texts.select("data").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+
+def occurrences(texts: DataFrame, marked: Bitmap, lengths: list[int], window: int) -> DataFrame:
+    """Where documents have marked shingles: ``digest``, ``place``, ``h``, and the words ``around``,
+    of which ``back`` come before it."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for stretch in stretches((x.as_py() for x in batch["data"]), window):
+                number, place, found, back, around = [], [], [], [], []
+                for length in lengths:
+                    at, h = stretch.shingles(length)
+                    mine = marked.has(h)
+                    for k in at[mine].tolist():
+                        before, text = stretch.around(k, window - 1)
+                        back.append(before)
+                        around.append(text)
+                    number.append(stretch.text[stretch.piece[at[mine]]])
+                    place.append(stretch.place[at[mine]])
+                    found.append(h[mine].view(np.int64))
+                columns = [
+                    batch["digest"].take(pa.array(np.concatenate(number))), pa.array(np.concatenate(place)), pa.array(np.concatenate(found)),
+                    pa.array(back, pa.int32()), pa.array(around, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["digest", "place", "h", "back", "around"])
+
+    return texts.mapInArrow(search, "digest binary, place long, h long, back int, around binary")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """Add ``n_words``, ``n_hit``, ``n_items``, ``items``, ``spans`` and ``contaminated``.
 
     ``items`` are the ids of items with occurring windows, sorted as strings; ``spans``
     the hit runs as [first word, word after the last].
     """
-    prepared = blocks(benchmark, window=window, shingle=shingle, block_windows=block_windows)
-    for block in prepared:
-        block.order_by(rarity(docs, block))
-    hit = c.fresh(docs, "hit")
-    found = docs.drop("n_words", "n_hit", "n_items", "items", "spans", "contaminated").withColumn(hit, F.lit(None).cast(_HIT))
-    for block in prepared:
-        found = found.withColumn(hit, _search(block)("text", hit))
+    folder = c.shared_folder(docs.sparkSession)
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    digest = F.unhex(F.md5(data))
+    texts = docs.select(digest.alias("digest"), data.alias("data"))
+    owned = c.stored(benchmark_windows(benchmark, window).distinct(), folder, "owned")
+    windows = owned.groupBy("words", "size").agg(F.count(F.lit(1)).alias("owners"))
+    windows = c.stored(windows.select(F.monotonically_increasing_id().alias("w"), "words", "size"), folder, "windows")
+    owners = owned.filter("item IS NOT NULL").join(windows.select("w", F.col("words").alias("of")), F.col("words") == F.col("of")).select("w", "item")
+    shingles = c.stored(window_shingles(windows, shingle), folder, "shingles")
+    # As many as a shingle has words at most.
+    lengths = sorted(r["length"] for r in shingles.select("length").distinct().collect()) or [1]
+    counts = shingle_counts(texts, Bitmap(shingles, shingles.count(), max_bits), lengths)
+    rarest = shingles.join(counts.select(F.col("h").alias("counted"), "n"), F.col("h") == F.col("counted"), "left")
+    rarest = rarest.groupBy(F.col("w").alias("of")).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "at")).alias("rarest"))
+    index = windows.join(rarest, F.col("w") == F.col("of")).select("w", "words", "size", F.col("rarest.h").alias("key"), F.col("rarest.at").alias("at"))
+    index = c.stored(index, folder, "index")
+    marked = Bitmap(index.select(F.col("key").alias("h")), index.count(), max_bits)
+    found = occurrences(texts, marked, lengths, window).join(index, F.col("h") == F.col("key"))
+    # Positional and length bounds, then the words themselves.
+    around, begin = F.split(F.col("around").cast("string"), " +"), F.col("back") - F.col("at")
+    inside = (begin >= 0) & (begin + F.col("size") <= F.size(around))
+    run = F.array_join(F.slice(around, F.greatest(begin + 1, F.lit(1)).cast("int"), F.col("size")), " ")
+    found = found.filter(inside & (run == F.col("words").cast("string")))
+    hits = found.select("digest", (F.col("place") - F.col("at")).alias("first"), (F.col("place") - F.col("at") + F.col("size")).alias("last"), "w")
+    hits = c.stored(hits.distinct(), folder, "hits")
+    result = c.stored(_spans(hits).join(_items(hits, owners), ["digest"], "left"), folder, "result")
+    of, own = c.fresh(docs, "of"), c.fresh(docs, "own")
+    result = result.select(F.col("digest").alias(own), *(F.col(x).alias(f"{own}_{x}") for x in ("n_hit", "spans", "items")))
+    kept = docs.drop("n_words", "n_hit", "n_items", "items", "spans", "contaminated")
+    n_words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(_WORD)).cast("long")
     return (
-        found.select("*", f"{hit}.*")
-        .drop(hit)
+        kept.withColumns({"n_words": n_words, of: digest})
+        .join(result, F.col(of) == F.col(own), "left")
+        .withColumn("n_hit", F.coalesce(F.col(f"{own}_n_hit"), F.lit(0).cast("long")))
+        .withColumn("items", F.coalesce(F.col(f"{own}_items"), F.array().cast("array<string>")))
+        .withColumn("spans", F.coalesce(F.col(f"{own}_spans"), F.array().cast("array<array<int>>")))
+        .drop(of, own, f"{own}_n_hit", f"{own}_items", f"{own}_spans")
         .withColumn("n_items", F.size("items").cast("long"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (HIT_SHARE * F.col("n_hit") >= F.col("n_words")))
     )
 
 
-_HIT = "struct<n_words: long, n_hit: long, items: array<string>, spans: array<array<int>>>"
-
+def _spans(hits: DataFrame) -> DataFrame:
+    """``digest``, ``n_hit`` and ``spans``: hits that overlap or touch are one span."""
+    runs = hits.groupBy("digest", "first").agg(F.max("last").alias("last"))
+    in_text = Window.partitionBy("digest").orderBy("first")
+    reached = F.max("last").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("new", F.coalesce(F.col("first") > reached, F.lit(True)).cast("int"))
+    runs = runs.withColumn("span", F.sum("new").over(in_text))
+    spans = runs.groupBy("digest", "span").agg(F.min("first").cast("int").alias("first"), F.max("last").cast("int").alias("last"))
+    return spans.groupBy("digest").agg(
+        F.sum(F.col("last") - F.col("first")).alias("n_hit"), F.array_sort(F.collect_list(F.array("first", "last"))).alias("spans")
+    )
 
-def _search(block: Block):
-    @F.pandas_udf(_HIT)
-    def search(texts: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for text, items, spans in zip(texts, before["items"], before["spans"], strict=True):
-            found = words(text)
-            hits = list(block.matches(block.encode(found)))
-            owners = {item for k, _ in hits for item in block.items[k]} | set(() if items is None else items)
-            runs = [(b, b + len(block.windows[k])) for k, b in hits] + [tuple(s) for s in (() if spans is None else spans)]
-            merged: list[list[int]] = []
-            for b, e in sorted(runs):
-                if merged and b <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], int(e))
-                else:
-                    merged.append([int(b), int(e)])
-            rows.append((len(found), sum(e - b for b, e in merged), sorted(owners), merged))
-        return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
 
-    return search
+def _items(hits: DataFrame, owners: DataFrame) -> DataFrame:
+    """``digest`` and ``items``."""
+    owned = hits.select("digest", "w").distinct().join(owners, "w").select("digest", "item").distinct()
+    return owned.groupBy("digest").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +353,7 @@ WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
 ), items AS (
   SELECT CAST(item_id AS VARCHAR) AS item, w, least({WINDOW}, len(w)) AS size
-  FROM (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) > 0
+  FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0
 ), wanted AS (
   SELECT DISTINCT item, size, w[i : i + size - 1] AS g FROM items, unnest(range(1, len(w) - size + 2)) AS t(i)
 ), here AS (
@@ -207,7 +365,7 @@ WITH docs AS (
   SELECT r, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(0, size)) AS t(k) GROUP BY r
 ), hit_items AS (
   SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+  FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256,

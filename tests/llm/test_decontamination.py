@@ -18,9 +18,9 @@ def brute(docs, items, window):
     windows = {}
     for item, text in items:
         w = plain_words(text)
-        if item is not None and w:
+        if w:
             for i in range(max(1, len(w) - window + 1)):
-                windows.setdefault(tuple(w[i : i + window]), set()).add(str(item))
+                windows.setdefault(tuple(w[i : i + window]), set()).update(() if item is None else (str(item),))
     out = []
     for i, text in docs:
         w = plain_words(text)
@@ -41,22 +41,54 @@ def ours(docs, items, **how):
     return sorted(((r[0], r[1], r[2], r[3], hashlib.sha256(",".join(r[4]).encode()).hexdigest(), r[5]) for r in rows), key=str)
 
 
-@pytest.mark.parametrize(("window", "block"), [(13, 100_000), (4, 40), (3, 30)])
-def test_random_texts(spark, make_docs, window, block):
+@pytest.mark.parametrize(("window", "bits", "piece"), [(13, 26, 1 << 20), (4, 12, 20), (3, 8, 50), (5, 6, 1 << 20), (5, 26, 1)])
+def test_random_texts(spark, make_docs, window, bits, piece, monkeypatch):
+    monkeypatch.setattr(dc, "_PIECE", piece)
     rng = random.Random(window)
     some = lambda n: " ".join(rng.choice(["The", "of", "a-b", "Öl", "x1", "it's", "no"]) for _ in range(n))
     items = [(k, some(rng.randrange(0, 20))) for k in range(12)] + [(100, "The"), (11, ""), (None, some(20)), (101, None)]
     docs = [(k, some(rng.randrange(0, 40)) + " " + (rng.choice(items)[1] or "") + " " + some(3)) for k in range(40)]
     docs += [(900, None), (901, ""), (902, items[1][1]), (902, items[1][1])]
     table = spark.createDataFrame(items, "item_id long, text string")
-    assert ours(make_docs(docs), table, window=window, block_windows=block) == brute(docs, items, window)
+    assert ours(make_docs(docs), table, window=window, max_bits=bits) == brute(docs, items, window)
 
 
-def test_blocks_change_nothing(spark):
+def test_a_full_bitmap_changes_nothing(spark):
     path = "/root/testdata/sf0.01"
     docs, items = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = ours(docs, items)
-    assert whole == ours(docs, items, block_windows=300) and sum(r[5] for r in whole) > 0
+    assert whole == ours(docs, items, max_bits=8) and sum(r[5] for r in whole) > 0
+
+
+def test_an_item_without_an_id_marks_words(spark, make_docs):
+    text = " ".join(f"w{i}" for i in range(13))
+    items = spark.createDataFrame([(None, text), ("b", "w1 w2")], "item_id string, text string")
+    found = {r.doc_id: r for r in dc.decontaminate(make_docs([(1, text), (2, text[3:])]), items).collect()}
+    assert (found[1].n_hit, found[1]["items"], found[1].contaminated) == (13, ["b"], True)
+    assert (found[2].n_hit, found[2]["items"], found[2].spans) == (2, ["b"], [[0, 2]])
+
+
+def test_long_texts_and_hot_shingles(spark, make_docs):
+    """A text of many pieces whose shingles are all alike, and windows that only differ at their end."""
+    rng = random.Random(9)
+    base = ["the"] * 12
+    items = [(f"i{k:03}", " ".join([*base, f"end{k}"])) for k in range(150)]
+    long = " ".join(rng.choice(["the", "the", "the", "x", f"end{rng.randrange(300)}"]) for _ in range(30_000))
+    planted = long[: len(long) // 2] + " " + items[7][1] + " " + long[len(long) // 2 :]
+    docs = [(1, planted), (2, " ".join(["The"] * 5_000)), (3, planted), (4, items[9][1].upper())]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    assert ours(make_docs(docs), table) == brute(docs, items, 13)
+
+
+def test_a_large_benchmark_stays_off_the_driver(spark, make_docs, monkeypatch):
+    """Neither windows nor shingles are collected: only lengths and the words of bitmaps are."""
+    from pyspark.sql import classic
+
+    collected, collect = [], classic.dataframe.DataFrame.collect
+    monkeypatch.setattr(classic.dataframe.DataFrame, "collect", lambda self: collected.append(len(rows := collect(self))) or rows)
+    items = spark.range(2_000).selectExpr("cast(id as string) AS item_id", "concat_ws(' ', transform(sequence(0, 29), i -> hash(id, i))) AS text")
+    found = dc.decontaminate(make_docs([(1, "a b c")]), items)
+    assert max(collected) <= 3 and found.count() == 1
 
 
 def test_odd_rows(spark, make_docs, odd_rows):
