@@ -2,26 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-#: Shuffle files go when the query that made them is done, not when the driver's
-#: garbage is next collected.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
+from stopclock.sources.folders import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors see.
+__all__ = ["discard", "fresh", "is_held_out", "n_words", "shared_folder", "stored"]
 
-    It lies in ``spark.checkpoint.dir``. Only where that is unset (tests, one
-    machine) a temporary folder takes its place.
-    """
-    base = spark.conf.get(CHECKPOINT_DIR, None) or "file://" + tempfile.mkdtemp(prefix="stopclock-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+#: Shuffle files go when the query that made them is done, not when the driver's
+#: garbage is next collected. The setting is the session's while a table is written, so
+#: operators that share a session should run one after the other.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, folder: str | None = None, name: str = "table") -> DataFrame:
