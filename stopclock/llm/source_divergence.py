@@ -74,18 +74,17 @@ def kept_terms(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``lang`` and ``term`` (bytes) of the terms in ``min_docs`` documents of their language or more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
-            for lang, data in zip(batch["lang"], batch["data"], strict=True):
-                lang = lang.as_py()
-                seen.update((lang, term) for term in set(data.as_py().translate(_TABLE).split()))
-                if len(seen) > _FLUSH:
-                    yield told(seen)
-                    seen = Counter()
-        yield told(seen)
-
-    def told(seen: Counter) -> pa.RecordBatch:
-        columns = pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.binary()), pa.array([*seen.values()], pa.int64())
+            for lang, data in zip(batch["lang"].to_pylist(), batch["data"], strict=True):
+                seen[lang].update(set(data.as_py().translate(_TABLE).split()))
+                if len(seen[lang]) > _FLUSH:
+                    yield told(lang, seen.pop(lang))
+        for lang, found in seen.items():
+            yield told(lang, found)
+
+    def told(lang: str, found: Counter) -> pa.RecordBatch:
+        columns = pa.array([lang] * len(found), pa.string()), pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())
         return pa.RecordBatch.from_arrays([*columns], ["lang", "term", "n"])
 
     counted = rows.select("lang", "data").mapInArrow(count, "lang string, term binary, n long")
@@ -202,19 +201,35 @@ def recount(rows: DataFrame, pack: list[Block]) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = Vocabulary(pack)
+        number: dict[str, dict[str, int]] = defaultdict(dict)  # of the sources, as they come
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
         for batch in batches:
-            for lang, sources, held in stretches(batch):
+            for lang, sources, texts in stretches(batch):
                 if lang not in vocabulary.of:
                     continue
-                data = np.frombuffer(b" ".join(held) + b" ", np.uint8)
+                numbers = number[lang]
+                code = np.array([numbers.setdefault(x, len(numbers)) for x in sources])
+                data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
                 start, ordinal = vocabulary.ordinals(lang, data)
-                begins = np.cumsum([0] + [len(h) + 1 for h in held[:-1]])
-                names, code = np.unique(np.array(sources, object), return_inverse=True)
+                begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
                 owner = code[np.searchsorted(begins, start, side="right") - 1]
                 known = ordinal >= 0
-                pairs, n = np.unique(ordinal[known] * len(names) + owner[known], return_counts=True)
-                if len(n):
-                    yield pd.DataFrame({"lang": [lang] * len(n), "source": names[pairs % len(names)], "ordinal": pairs // len(names), "n": n})
+                held[lang].append(np.unique(owner[known] << 40 | ordinal[known], return_counts=True))
+                if sum(len(key) for key, _ in held[lang]) > _FLUSH:
+                    held[lang] = [merged(held[lang])]
+                    if len(held[lang][0][0]) > _FLUSH // 2:
+                        yield told(lang, numbers, *held.pop(lang)[0])
+        for lang, found in held.items():
+            yield told(lang, number[lang], *merged(found))
+
+    def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        key, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+        return key, np.bincount(place, np.concatenate([n for _, n in found]), len(key)).astype(np.int64)
+
+    def told(lang: str, numbers: dict[str, int], key: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        names = np.array(list(numbers), object)
+        columns = np.full(len(key), lang, object), names[key >> 40], key & (1 << 40) - 1, n
+        return pd.DataFrame(dict(zip(("lang", "source", "ordinal", "n"), columns, strict=True)))
 
     return rows.mapInPandas(count, "lang string, source string, ordinal long, n long")
 

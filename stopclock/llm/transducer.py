@@ -5,17 +5,21 @@ as common beginnings are. Each arc carries the number of strings that lie before
 its state; summed along a path that ends in a final state these give the ordinal.
 
 The automaton is three arrays, arcs sorted by (state, byte). ``ordinals`` walks any number of
-stretches of a byte array at once, one byte of each at a time.
+stretches of a byte array at once, one byte of each at a time; up to ``MAX_CELLS`` states times
+bytes it looks arcs up in a table of all of them, else among the sorted arcs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import cached_property
 from typing import ClassVar
 
 import numpy as np
 
+MAX_CELLS = 1 << 23
+
 
 @dataclass(frozen=True)
 class Transducer:
@@ -33,6 +37,28 @@ class Transducer:
     def unpacked(cls, data: Mapping[str, bytes]) -> Transducer:
         return cls(**{name: np.frombuffer(data[name], kind) for name, kind in cls.DTYPES.items()})
 
+    @cached_property
+    def _cells(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """The column of each byte, and the arc (or -1) of each state and column."""
+        used = np.unique(self.arcs & 255)
+        width = len(used) + 1  # the last column has no arcs
+        if len(self.final) * width > MAX_CELLS:
+            return None
+        column = np.full(256, width - 1)
+        column[used] = np.arange(width - 1)
+        cells = np.full(len(self.final) * width, -1, np.int32)
+        cells[(self.arcs >> 8) * width + column[self.arcs & 255]] = np.arange(len(self.arcs))
+        return column, cells
+
+    def _arc(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The arc from each state with each byte, or -1."""
+        if self._cells:
+            column, cells = self._cells
+            return cells[state * (len(cells) // len(self.final)) + column[byte]]
+        wanted = 256 * state + byte
+        arc = np.minimum(np.searchsorted(self.arcs, wanted), len(self.arcs) - 1)
+        return np.where(self.arcs[arc] == wanted, arc, -1)
+
     def ordinals(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """The ordinal of each stretch ``data[start : start + length]``, or -1."""
         out = np.full(len(start), -1, np.int64)
@@ -47,9 +73,8 @@ class Transducer:
             at, state, total = at[~ended], state[~ended], total[~ended]
             if not len(at) or not len(self.arcs):
                 break
-            wanted = 256 * state + data[start[at] + depth]
-            arc = np.minimum(np.searchsorted(self.arcs, wanted), len(self.arcs) - 1)
-            there = self.arcs[arc] == wanted
+            arc = self._arc(state, data[start[at] + depth])
+            there = arc >= 0
             at, arc = at[there], arc[there]
             state, total = self.target[arc].astype(np.int64), total[there] + self.before[arc]
             depth += 1

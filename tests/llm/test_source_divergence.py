@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from stopclock.llm import source_divergence as sd
+from stopclock.llm import transducer
 from stopclock.llm.transducer import Transducer, build
 
 
@@ -48,8 +49,9 @@ def some_rows(seed, n=150):
 
 
 @pytest.mark.parametrize(("seed", "how"), [(1, {}), (2, {"block_terms": 2, "pack_bytes": 1}), (3, {"block_terms": 3, "tile": 2, "ordinals": 2}), (4, {"pack_bytes": 300, "block_terms": 1, "tile": 1, "ordinals": 3})])
-def test_same_as_counting(spark, seed, how):
+def test_same_as_counting(spark, seed, how, monkeypatch):
     rows = some_rows(seed)
+    monkeypatch.setattr(sd, "_FLUSH", 5)
     docs = spark.createDataFrame(rows, "lang string, source string, text string").selectExpr("*", "'mine' AS data", "1 AS n", "2 AS number")
     got = sd.audit(docs, min_docs=5, top=3, **how)
     assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
@@ -64,7 +66,9 @@ def test_odd_tables(spark, make_docs, odd_rows):
     assert got == brute([(r[2], r[3], r[1]) for r in rows], 2, 50)
 
 
-def test_transducer_gives_places_in_order():
+@pytest.mark.parametrize("cells", [transducer.MAX_CELLS, 0])
+def test_transducer_gives_places_in_order(cells, monkeypatch):
+    monkeypatch.setattr(transducer, "MAX_CELLS", cells)
     rng = random.Random(7)
     strings = sorted({bytes(rng.choice(b"abcd\xc3\xa4") for _ in range(rng.randrange(1, 9))) for _ in range(900)})
     known = Transducer.unpacked(build(strings).packed())
