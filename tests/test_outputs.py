@@ -92,14 +92,14 @@ def test_a_run_whose_second_output_fails_leaves_no_report(spark, events_schedule
 
 def test_figures_come_while_the_job_runs(spark):
     told, ended = [], []
-    slow = spark.range(0, 16, 1, 16).select(F.udf(lambda x: time.sleep(0.3) or x, "long")("id"))
+    slow = spark.range(0, 64, 1, 64).select(F.udf(lambda x: time.sleep(0.3) or x, "long")("id"))
     before = spark.sparkContext.getLocalProperty("spark.jobGroup.id")
     with told_live(spark, lambda now: told.append((now, bool(ended))), every=0.1):
         slow.write.format("noop").mode("overwrite").save()
         ended.append(True)
     during = [now for now, late in told if not late]
-    assert len(during) >= 2 and during[0]["tasks"] == 16
-    assert 0 < max(now["tasks_done"] for now in during) and any(now["tasks_done"] < 16 for now in during)
+    assert len(during) >= 2 and during[0]["tasks"] == 64
+    assert 0 < max(now["tasks_done"] for now in during) and any(now["tasks_done"] < 64 for now in during)
     assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") == before and threading.active_count() < 50
 
     def fails(now):
