@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors see")
         base = "file://" + tempfile.mkdtemp(prefix="stopclock-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

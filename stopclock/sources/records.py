@@ -19,14 +19,19 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The functions that tasks call travel with their code, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTSIDE, INSIDE = 0, 1
 _CONTENT = rb'(?:[^"\\]++|\\["\\]?|"++(?=\\))*+'
 _PLAIN, _CLOSED = rb'(?:[^",][^,]*+)?+', rb'"' + _CONTENT + rb'"[^,]*+'

@@ -1,8 +1,12 @@
 """Reading CSV in pieces against Spark's own whole-file reader."""
 
+import os
 import random
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 import stopclock as sc
 from stopclock.sources import records as rc
@@ -128,3 +132,12 @@ def test_headers_are_read_in_tasks(spark, tmp_path):
     found = header_lines(spark, str(tmp_path))
     assert {h: len(files) for h, files in found.items()} == {"h0": 100, "h1": 100, "h2": 100}
     assert spark.conf.get("spark.sql.files.openCostInBytes") != str(1 << 62)
+
+
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """What tasks call is unpickled where the package can't be imported."""
+    (tmp_path / "f").write_bytes(cloudpickle.dumps((rc.state_after, rc._ranges, rc._quoting)))
+    code = "import sys, pickle; sys.path = [p for p in sys.path if p]; f = pickle.load(open('f', 'rb'))[0]; print(f(0, b'a,\"b'), 'stopclock' in sys.modules)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=60)
+    assert done.stdout == "1 False\n", done.stderr
