@@ -26,6 +26,7 @@ import bisect
 import zlib
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -90,6 +91,13 @@ def _hash(key: Column) -> Column:
     return F.xxhash64(F.coalesce(key.cast("string"), F.lit("")))
 
 
+def _local(spark: SparkSession, rows: list[tuple], **columns: pa.DataType) -> DataFrame:
+    """A small table of the driver's rows. From Arrow it is a local relation, where a list of
+    tuples would start Python workers in the executors just to unpickle it."""
+    arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), columns.values(), strict=True)]
+    return spark.createDataFrame(pa.table(dict(zip(columns, arrays, strict=True))))
+
+
 def shard(docs: DataFrame, *, key: str = "doc_id", shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, slack: float = 0.0, rows_per_cell: int = ROWS_PER_CELL, spread: str | None = None) -> DataFrame:
     """Add ``shard`` and ``slot`` (its place in the shard, gapless from 0); ``spread`` is dropped.
 
@@ -104,10 +112,10 @@ def shard(docs: DataFrame, *, key: str = "doc_id", shards: int = SHARDS, virtual
     counts = {r["place"]: r["count"] for r in rows.groupBy("place").count().collect()}  # SLOTS rows at most
     runs = fill(counts, Ring.of(shards, virtual_nodes), capacities(sum(counts.values()), shards, slack))
     # Slots, and a run more wherever a shard fills up: bounded by SLOTS + shards.
-    table = spark.createDataFrame(runs or [(-1, 0, 0, 0)], "place_r int, first long, shard int, slot long")
+    table = _local(spark, runs or [(-1, 0, 0, 0)], place_r=pa.int32(), first=pa.int64(), shard=pa.int32(), slot=pa.int64())
     table = table.groupBy("place_r").agg(F.array_sort(F.collect_list(F.struct("first", "shard", "slot"))).alias("runs"))
     cells_of = [(p, 1 + (n - 1) // rows_per_cell) for p, n in counts.items() if n > rows_per_cell] or [(-1, 1)]
-    cells_of = spark.createDataFrame(cells_of, "place_n int, cells int")
+    cells_of = _local(spark, cells_of, place_n=pa.int32(), cells=pa.int32())
     rows = rows.join(F.broadcast(cells_of), F.col("place") == F.col("place_n"), "left")
     rows = rows.withColumn("cell", F.pmod("whole", F.coalesce("cells", F.lit(1))).cast("int"))
     before = Window.partitionBy("place").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)

@@ -80,3 +80,11 @@ def test_a_third_of_the_rows_under_one_id_is_many_tasks(spark, make_docs, equal)
     got = placed.collect()
     assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(24) for k in range(500)]
     assert placed.columns == [*make_docs([]).columns, "shard", "slot"]
+
+
+def test_no_python_on_the_executors(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    placed = sharding.shard(docs, rows_per_cell=1)
+    # Tables of the driver's rows are local relations; an RDD of them would be unpickled by Python workers.
+    assert "ExistingRDD" not in placed._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.shard, r.slot) for r in placed.collect()) == [(s, k) for s in range(24) for k in range(13 if s < 12 else 12)]
